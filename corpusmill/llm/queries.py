@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import leakage, near_duplicates, splitting
+from . import leakage, mixing, near_duplicates, repeated_lines, splitting
 from .common import table
 
 
@@ -34,6 +34,19 @@ def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _pieces(spark, d)
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return repeated_lines.repeated_lines(table(spark, d, "chunks"))[0]
+
+
+def p4_templates(spark: SparkSession, d: str) -> DataFrame:
+    return repeated_lines.repeated_lines(table(spark, d, "chunks"))[1]
+
+
+def p4_clean(spark: SparkSession, d: str) -> DataFrame:
+    chunks = table(spark, d, "chunks")
+    return repeated_lines.without_lines(chunks, repeated_lines.repeated_lines(chunks)[0])
+
+
 def _spans(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked_spans(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -50,11 +63,21 @@ def p6_clean(spark: SparkSession, d: str) -> DataFrame:
     return leakage.without_spans(table(spark, d, "documents"), _spans(spark, d))
 
 
+def p7_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+
+
+def p7_positions(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.curriculum(mixing.mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found, "p1_groups": p1_groups,
         "p2_found": p2_found, "p2_pieces": p2_pieces,
+        "p4_found": p4_found, "p4_templates": p4_templates, "p4_clean": p4_clean,
         "p6_found": p6_found, "p6_spans": p6_spans, "p6_clean": p6_clean,
+        "p7_mix": p7_mix, "p7_positions": p7_positions,
     }
 
 
