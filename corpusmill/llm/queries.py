@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import leakage, mixing, near_duplicates, repeated_lines, splitting
+from . import languages, leakage, mixing, near_duplicates, repeated_lines, splitting
 from .common import table
 
 
@@ -34,6 +34,19 @@ def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _pieces(spark, d)
 
 
+def _languages(spark: SparkSession, d: str) -> DataFrame:
+    return languages.identify(table(spark, d, "chunks"), table(spark, d, "common_words"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    found = _languages(spark, d).filter("label_state != 'right'")
+    return found.select("id", F.explode("langs").alias("lang")).distinct()
+
+
+def p3_passages(spark: SparkSession, d: str) -> DataFrame:
+    return _languages(spark, d).select("id", "label", F.posexplode("passages").alias("passage_no", "p")).select("id", "label", "passage_no", "p.*")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines.repeated_lines(table(spark, d, "chunks"))[0]
 
@@ -75,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found, "p1_groups": p1_groups,
         "p2_found": p2_found, "p2_pieces": p2_pieces,
+        "p3_found": p3_found, "p3_passages": p3_passages,
         "p4_found": p4_found, "p4_templates": p4_templates, "p4_clean": p4_clean,
         "p6_found": p6_found, "p6_spans": p6_spans, "p6_clean": p6_clean,
         "p7_mix": p7_mix, "p7_positions": p7_positions,
