@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import languages, leakage, mixing, near_duplicates, repeated_lines, splitting
+from . import languages, leakage, mixing, near_duplicates, quality, repeated_lines, splitting
 from .common import table
 
 
@@ -84,6 +84,18 @@ def p7_positions(spark: SparkSession, d: str) -> DataFrame:
     return mixing.curriculum(mixing.mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1])
 
 
+def _types(spark: SparkSession, d: str) -> DataFrame:
+    return quality.text_types(table(spark, d, "documents"), table(spark, d, "common_words"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _types(spark, d).filter("form != 'prose'").select("doc_id", "form").distinct()
+
+
+def p8_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return _types(spark, d).drop("votes")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found, "p1_groups": p1_groups,
@@ -92,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p4_found": p4_found, "p4_templates": p4_templates, "p4_clean": p4_clean,
         "p6_found": p6_found, "p6_spans": p6_spans, "p6_clean": p6_clean,
         "p7_mix": p7_mix, "p7_positions": p7_positions,
+        "p8_found": p8_found, "p8_statistics": p8_statistics,
     }
 
 
