@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import languages, leakage, mixing, near_duplicates, quality, repeated_lines, splitting
+from . import languages, leakage, mixing, near_duplicates, quality, repeated_lines, scans, splitting
 from .common import table
 
 
@@ -60,6 +60,14 @@ def p4_clean(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines.without_lines(chunks, repeated_lines.repeated_lines(chunks)[0])
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.repair(table(spark, d, "chunks"), table(spark, d, "text_index"))[0]
+
+
+def p5_text(spark: SparkSession, d: str) -> DataFrame:
+    return scans.repair(table(spark, d, "chunks"), table(spark, d, "text_index"))[1]
+
+
 def _spans(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaked_spans(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -102,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_found": p2_found, "p2_pieces": p2_pieces,
         "p3_found": p3_found, "p3_passages": p3_passages,
         "p4_found": p4_found, "p4_templates": p4_templates, "p4_clean": p4_clean,
+        "p5_found": p5_found, "p5_text": p5_text,
         "p6_found": p6_found, "p6_spans": p6_spans, "p6_clean": p6_clean,
         "p7_mix": p7_mix, "p7_positions": p7_positions,
         "p8_found": p8_found, "p8_statistics": p8_statistics,
