@@ -1,11 +1,38 @@
 """Named queries over the test tables and the SQL that must give the same rows."""
 
-FLAGSHIP = "corpus_changes_latest"
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+FLAGSHIP = "corpus_documents"
 
-def oracle_sql():
-    return {}
+
+def query(name: str, sql: str | None = None):
+    """Register a query; ``sql`` is None where SQL can't express it."""
+
+    def add(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            SQL[name] = sql
+        return fn
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import change_queries, group_queries, quality_queries, segment_queries, text_queries, url_queries  # noqa: F401
+
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    queries()
+    return dict(SQL)
