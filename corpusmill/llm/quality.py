@@ -181,15 +181,15 @@ def _garbled(s: dict[str, float]) -> bool:
 
 
 def _over_and_over(s: dict[str, float]) -> bool:
-    return s["word_count"] >= 8 and s["digit_ratio"] < 0.1 and (s["top_word_ratio"] > 0.4 or (s["distinct_ratio"] < 0.12 and s["word_count"] >= 20))
+    return s["word_count"] >= 8 and s["digit_ratio"] < 0.1 and (s["top_word_ratio"] > 0.4 or (s["distinct_ratio"] * s["word_count"] <= 3.5 and s["word_count"] >= 12))
 
 
 #: Labelling functions: type they vote for, and the threshold on the statistics at which they do.
 VOTES = (
     ("list", lambda s: s["list_share"] > 0.5 and not _garbled(s) and not _over_and_over(s)),
-    ("list", lambda s: s["list_share"] > 0.35 and s["line_end_ratio"] < 0.35 and not _garbled(s)),
-    ("list", lambda s: s["list_share"] > 0.25 and s["line_end_ratio"] < 0.3 and s["mean_line_words"] < 8 and s["table_share"] < 0.5),
-    ("table", lambda s: s["table_share"] > 0.5 and not _garbled(s)),
+    ("list", lambda s: s["list_share"] > 0.35 and s["line_end_ratio"] < 0.35 and not _garbled(s) and not _over_and_over(s)),
+    ("list", lambda s: s["list_share"] > 0.25 and s["line_end_ratio"] < 0.3 and s["mean_line_words"] < 8 and s["table_share"] < 0.5 and not _over_and_over(s)),
+    ("table", lambda s: s["table_share"] > 0.5 and not _garbled(s) and not _over_and_over(s)),
     ("table", lambda s: s["table_share"] > 0.35 and s["digit_ratio"] > 0.15),
     ("table", lambda s: s["digit_ratio"] > 0.25 and s["line_end_ratio"] < 0.3 and s["list_share"] < 0.6),
     ("junk", lambda s: s["word_count"] == 0),

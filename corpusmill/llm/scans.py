@@ -31,7 +31,7 @@ from .common import cut, map_columns
 SAMPLE_CHUNKS, SAMPLE_WORDS, SAMPLE_DAMAGED = 1500, 30_000, 3000
 LEAST_COUNT = 3
 FREQUENT = 1e-4
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000
 
 #: Words that stand before a page number. Fixed values.
 PAGE_WORDS = ("strona", "str", "s", "page", "p", "pp", "pg", "seite", "сторінка", "стор", "с")
@@ -43,7 +43,9 @@ _IN = re.escape(_HYPHENS)
 _BROKEN = re.compile(rf"([^\s{_IN}]*[^\W\d_](?:-[^\s{_IN}]*[^\W\d_])*)[{_IN}]$")
 _EDGES = ".,;:?!\"'„”“»«()[]{}…–—|‚‘’`*•"
 _INNER_EDGES = ".,;:?\"„”“»«()[]{}…–—‚‘*•-‐‑¬\u00ad"
-_PAGE = re.compile(r"^\W*(?:([^\W\d_][\w@!$|]{0,8})[.:]?\s*)?(\d{1,4}|[ivxlcIVXLC]{1,6})(?:\s*(?:[^\W\d_]{1,3}|/|\|)\s*(\d{1,4}))?\W*$")
+_OF = r"(?:\s*(?:[^\W\d_]{1,3}|/|\|)\s*\d{1,4})?\W*$"
+_BARE_PAGE = re.compile(r"^\W*(\d{1,4}|[ivxlc]{1,6}|[IVXLC]{1,6})" + _OF)
+_PAGE = re.compile(r"^\W*([^\W\d_][\w@!$|]{0,8})[.:]?\s*(\d{1,4}|[ivxlcIVXLC]{1,6})" + _OF)
 
 
 def is_page(line: str) -> bool:
@@ -51,12 +53,13 @@ def is_page(line: str) -> bool:
     s = line.strip()
     if len(s) > 24:
         return False
+    if m := _BARE_PAGE.match(s):
+        number = m.group(1)
+        return (number.isdigit() or len(number) > 1 or not s[:1].isalpha()) and not (s.endswith((".", ",", "%", ")")) and s[:1].isdigit())
     m = _PAGE.match(s)
     if not m:
         return False
-    word, number, _ = m.groups()
-    if word is None:
-        return (number.isdigit() or not s[:1].isalpha()) and not (s.endswith((".", ",", "%", ")")) and s[:1].isdigit())
+    word, number = m.groups()
     if not number.isdigit() and len(number) > 1:
         return False
     word = word.lower().translate(_LOOK)
@@ -265,9 +268,10 @@ class Ranker:
                     y.append(w == true)
         y = np.array(y, float)
         self.trees = BoostedTrees(rounds=60).fit(np.array(x), y) if len(y) and 0 < y.mean() < 1 else None
+        self.always = float(y.mean()) if len(y) else 0.0  # where no example, or every one, is right
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return self.trees.predict(x) if self.trees else np.zeros(len(x))
+        return self.trees.predict(x) if self.trees else np.full(len(x), self.always)
 
 
 def enough(n: int, m: int, shared: float) -> bool:
@@ -376,7 +380,8 @@ def corrections(unknown: DataFrame, words: DataFrame) -> DataFrame:
     confusions = {pair: PRIOR for pair in EXPECTED}
     for r in top:
         confusions[r.a, r.b] = confusions.get((r.a, r.b), 0.0) + float(r.weight)
-    sample = {r.word: r.n for r in targets.orderBy(F.desc("n"), "word").limit(SAMPLE_WORDS).collect()}
+    often = targets.agg(F.percentile_approx("n", F.lit(max(0.0, 1 - SAMPLE_WORDS / max(1, targets.count()))), F.lit(1_000_000)).alias("q")).first().q or 0
+    sample = {r.word: r.n for r in targets.filter(F.col("n") >= often).orderBy(F.desc("n"), "word").limit(SAMPLE_WORDS).collect()}
     ranker = near.sparkSession.sparkContext.broadcast(Ranker(sample, confusions))
 
     def rank(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -414,7 +419,9 @@ def repair(chunks: DataFrame, text_index: DataFrame, accept: float = 0.5) -> tup
     rows = cut(own.dropDuplicates(["id", "text"]))
     words = clean_words(others)
     rows = cut(_with_repeats(rows))
-    sample = rows.orderBy(F.xxhash64("id", F.lit(3)), "text").limit(SAMPLE_CHUNKS).select("text", "repeats").collect()
+    # a hash takes about the sample from every partition, so no more than that is sent anywhere
+    part = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1_000_000)) < int(1.1e6 * SAMPLE_CHUNKS / max(1, rows.count())) + 1
+    sample = rows.filter(part).select("text", "repeats").orderBy(F.xxhash64("text"), "text").limit(SAMPLE_CHUNKS).collect()
     model = spark.sparkContext.broadcast(LineModel([(r.text.split("\n"), _repeats([x.asDict() for x in r.repeats or ()])) for r in sample]))
 
     def read(batch: pa.RecordBatch) -> pa.RecordBatch:
