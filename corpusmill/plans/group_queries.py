@@ -131,13 +131,12 @@ def work_queue(spark, d):
     return rows.orderBy(done, F.coalesce("char_count", F.lit(0)), "effective_url", "attachment_id").limit(25).select("attachment_id", F.coalesce("char_count", F.lit(0)).alias("size"))
 
 
-@query("natural_order", "SELECT filename, row_number() OVER (ORDER BY CAST(regexp_extract(filename, '(\\d+)', 1) AS BIGINT), filename) AS k FROM (SELECT DISTINCT filename FROM text_index WHERE regexp_matches(filename, '^\\d+\\.pdf$'))")
+@query("natural_order", "SELECT filename, CAST(row_number() OVER (ORDER BY CAST(regexp_extract(filename, '(\\d+)', 1) AS BIGINT), filename) AS VARCHAR) AS k FROM (SELECT DISTINCT filename FROM text_index WHERE regexp_matches(filename, '^\\d+\\.pdf$'))")
 def natural_order(spark, d):
-    from pyspark.sql import Window
-
     rows = table(spark, d, "text_index").filter(F.col("filename").rlike(r"^\d+\.pdf$")).select("filename").distinct()
-    # the rank shows the order; a sink sorts by the same keys without a window
-    return rows.select("filename", F.row_number().over(Window.orderBy(*G.natural_order(F.col("filename")))).alias("k"))
+    shape, figures, _ = G.natural_order(F.col("filename"))
+    rows = rows.select("filename", shape.alias("shape"), figures.alias("figures"))
+    return G.number_rows(rows, ["shape", "figures", "filename"], "k", "%d").select("filename", "k")
 
 
 @query("strongest_action", """
@@ -157,12 +156,10 @@ def repeated_urls(spark, d):
     WITH k AS (SELECT attachment_id, CASE WHEN filename <> '' AND char_count IS NOT NULL THEN 'duplicate:' || substring(sha256(lower(filename) || '|' || char_count || '|' || lower(coalesce(parser, ''))), 1, 16) END AS g FROM (SELECT DISTINCT attachment_id, filename, char_count, parser FROM text_index))
     SELECT attachment_id, g AS group_id, count(*) OVER (PARTITION BY g) AS group_size, attachment_id = min(attachment_id) OVER (PARTITION BY g) AS canonical FROM k WHERE g IS NOT NULL""")
 def metadata_duplicates(spark, d):
-    from pyspark.sql import Window
-
     rows = table(spark, d, "text_index").select("attachment_id", "filename", "char_count", "parser").distinct()
     rows = rows.select("attachment_id", X.duplicate_key(F.col("filename"), F.col("char_count"), F.col("parser")).alias("group_id")).filter("group_id is not null")
-    w = Window.partitionBy("group_id")
-    return rows.select("*", F.count("*").over(w).alias("group_size"), (F.col("attachment_id") == F.min("attachment_id").over(w)).alias("canonical"))
+    groups = rows.groupBy("group_id").agg(F.count("*").alias("group_size"), F.min("attachment_id").alias("first"))
+    return rows.join(groups, "group_id").select("attachment_id", "group_id", "group_size", (F.col("attachment_id") == F.col("first")).alias("canonical"))
 
 
 @query("alias_union", "SELECT content_sha256, array_to_string(list_sort(list_distinct(flatten(list(url_aliases)))), ' ') AS aliases FROM text_index WHERE content_sha256 IS NOT NULL GROUP BY 1")

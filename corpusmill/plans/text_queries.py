@@ -20,13 +20,12 @@ def normal(c: str) -> str:
     SELECT 'web:' || doc_id AS id, source, url, words, length(body) AS chars, sha256(body) AS content_sha256, copies FROM r WHERE k = 1""")
 def corpus_documents(spark, d):
     """Documents of ten words or more, normalised, one per content, with the copies it stands for."""
-    from pyspark.sql import Window
-
     rows = table(spark, d, "documents").filter("text is not null").withColumn("body", T.normalize_text(F.col("text")))
     rows = rows.withColumn("words", T.word_count(F.col("body"))).filter("words >= 10").withColumn("content_sha256", F.sha2("body", 256))
-    w = Window.partitionBy("content_sha256")
-    rows = rows.withColumn("k", F.row_number().over(w.orderBy("source", "doc_id"))).withColumn("copies", F.count("*").over(w)).filter("k = 1")
-    return rows.select(F.concat(F.lit("web:"), "doc_id").alias("id"), "source", "url", "words", F.length("body").alias("chars"), "content_sha256", "copies")
+    # the first document of a content stands for it; map-side partial aggregation keeps a hot content from one task
+    first = F.min(F.struct("source", "doc_id", "url", "words", F.length("body").alias("chars")))
+    groups = rows.groupBy("content_sha256").agg(first.alias("f"), F.count("*").alias("copies"))
+    return groups.select(F.concat(F.lit("web:"), "f.doc_id").alias("id"), "f.source", "f.url", "f.words", "f.chars", "content_sha256", "copies")
 
 
 @query("normalize_text", f"SELECT doc_id, md5({normal('text')}) AS h FROM documents")

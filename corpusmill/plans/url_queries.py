@@ -45,7 +45,7 @@ def link_kinds(spark, d):
     rules = table(spark, d, "source_rules").select(F.col("id").alias("rule"), U.host(F.col("base_url")).alias("own"))
     urls = table(spark, d, "chunks").filter("url is not null").select("url", "source_id").distinct()
     own = urls.join(rules, urls.source_id == rules.rule).select("url", "rule", "own")
-    portal = urls.join(F.broadcast(rules.filter("rule = 'portal'")), F.lit(True)).select("url", "rule", "own")  # one rule
+    portal = urls.withColumn("rule", F.lit("portal")).join(rules, "rule").select("url", "rule", "own")
     rows = own.union(portal).distinct()
     return rows.select("url", "rule", U.link_kind(F.col("url"), F.col("own"), ["uczelnia.example"]).alias("kind"))
 
@@ -95,7 +95,7 @@ _HTML = """'<html><head><title>t</title><style>p{}</style></head><body><h1>' ||
 
 
 def _pages(spark, d):
-    return table(spark, d, "chunks").filter("url is not null").select(F.col("id"), "url", F.expr(_HTML.replace("||", "||")).alias("html"), "title", "source_id").distinct()
+    return table(spark, d, "chunks").filter("url is not null").select(F.col("id"), "url", F.expr(_HTML).alias("html"), "title", "source_id").distinct()
 
 
 @query("page_headings", """
