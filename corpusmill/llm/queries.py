@@ -117,8 +117,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_LEAKS = r"""
+    WITH i AS (SELECT item_id, regexp_extract_all(replace(strip_accents(lower(text)), 'ł', 'l'), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE text IS NOT NULL),
+    d AS (SELECT DISTINCT doc_id, regexp_extract_all(replace(strip_accents(lower(text)), 'ł', 'l'), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+    gi AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 10, 1)), lambda k: array_to_string(w[k:k + 11], ' '))) AS g FROM i),
+    gd AS (SELECT doc_id, unnest(list_transform(range(1, greatest(len(w) - 10, 1)), lambda k: array_to_string(w[k:k + 11], ' '))) AS g FROM d)
+    SELECT DISTINCT doc_id, item_id FROM gd JOIN gi USING (g)"""
+_LINES = r"""
+    WITH c AS (SELECT DISTINCT id, document_id, source_id, text FROM chunks), a AS (SELECT source_id, count(DISTINCT document_id) AS n FROM c GROUP BY 1),
+    l AS (SELECT id, document_id, source_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM c WHERE text IS NOT NULL),
+    k AS (SELECT *, trim(regexp_replace(lower(line), '[^\p{L}]+', ' ', 'g')) AS key FROM l),
+    s AS (SELECT source_id, key, count(DISTINCT document_id) AS docs FROM k WHERE length(replace(key, ' ', '')) >= 10 GROUP BY 1, 2)
+    SELECT DISTINCT k.id, k.line_no FROM k JOIN s ON k.key = s.key AND k.source_id IS NOT DISTINCT FROM s.source_id JOIN a ON a.source_id IS NOT DISTINCT FROM s.source_id
+    WHERE s.docs >= 5 AND s.docs >= 0.04 * a.n"""
+_GROUPS = r"""
+    WITH RECURSIVE w AS (SELECT DISTINCT id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM chunks WHERE text IS NOT NULL),
+    g AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 1), lambda k: hash(array_to_string(w[k:k + 2], ' ')))) AS g FROM w WHERE len(w) >= 40),
+    n AS (SELECT id, count(*) AS n FROM g GROUP BY 1),
+    p AS (SELECT x.id AS a, y.id AS b, count(*) AS both_ FROM g x JOIN g y ON x.g = y.g AND x.id < y.id GROUP BY 1, 2),
+    l AS (SELECT a, b FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE both_ >= 0.6 * (x.n + y.n - both_)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+    SELECT a AS id_a, b AS id_b FROM r WHERE a < b"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p1_found": _GROUPS, "p4_found": _LINES, "p6_found": _LEAKS,
         "p2_found": """
             SELECT DISTINCT id FROM chunks
             WHERE len(regexp_extract_all(text, '[^ \\t\\r\\n]+')) > (
