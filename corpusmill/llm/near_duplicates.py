@@ -27,6 +27,7 @@ _U = np.uint64
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
 SIGNATURE_BITS = 256
 SHINGLE = 3
+BROADCAST_ROWS = 200_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -104,7 +105,7 @@ class Sketcher:
 
 
 def sketch_texts(df: DataFrame, id_col: str, text_col: str, min_words: int, k: int, picks: int, sketches: int) -> DataFrame:
-    """(id, key, sig, sketch) of each text of at least ``min_words`` words; null texts have none."""
+    """(id, key, its first eight bytes, sig, sketch) of each text of at least ``min_words`` words; null texts have none."""
 
     def make():
         maker: list[Sketcher] = []
@@ -127,15 +128,15 @@ def sketch_texts(df: DataFrame, id_col: str, text_col: str, min_words: int, k: i
             sig = np.array(sigs)
             flat = pa.array(np.concatenate(rows))
             offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * sketches)
-            cols = [pa.array(ids, pa.string()), pa.array(keys, pa.binary())]
+            cols = [pa.array(ids, pa.string()), pa.array(keys, pa.binary()), pa.array([int.from_bytes(k[:8], "big", signed=True) for k in keys], pa.int64())]
             cols += [pa.array(np.ascontiguousarray(sig[:, j])) for j in range(4)]
             cols.append(pa.ListArray.from_arrays(offsets, flat))
-            return pa.RecordBatch.from_arrays(cols, names=["id", "key", "s0", "s1", "s2", "s3", "sketch"])
+            return pa.RecordBatch.from_arrays(cols, names=["id", "key", "k", "s0", "s1", "s2", "s3", "sketch"])
 
         return run
 
     rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    return map_columns(rows, make(), "id string, key binary, s0 long, s1 long, s2 long, s3 long, sketch array<long>")
+    return map_columns(rows, make(), "id string, key binary, k long, s0 long, s1 long, s2 long, s3 long, sketch array<long>")
 
 
 def banded_lcs(a: np.ndarray, b: np.ndarray, band: int) -> int:
@@ -215,8 +216,9 @@ def near_duplicates(
     """
     sketched = cut(sketch_texts(df, id_col, text_col, min_words, k, picks, sketches))
     members = sketched.select("id", "key").distinct()
-    reps = sketched.groupBy("key").agg(F.min(F.struct("id", "s0", "s1", "s2", "s3", "sketch")).alias("r"))
-    rows = cut(reps.select("key", "r.id", "r.s0", "r.s1", "r.s2", "r.s3", F.explode("r.sketch").alias("bucket")))
+    reps = cut(sketched.groupBy("key").agg(F.min(F.struct("id", "k", "s0", "s1", "s2", "s3", "sketch")).alias("r")).select("key", "r.*"))
+    # eight bytes of the key travel with a bucket: where two keys share them, both are compared
+    rows = reps.select(F.explode("sketch").alias("bucket"), "k")
 
     def close(x: str, y: str):
         differ = sum((F.bit_count(F.col(f"{x}.s{j}").bitwiseXOR(F.col(f"{y}.s{j}"))) for j in range(4)), F.lit(0))
@@ -225,10 +227,12 @@ def near_duplicates(
         most = SIGNATURE_BITS * share + 4.5 * (SIGNATURE_BITS * share * (1 - share)) ** 0.5
         return differ <= int(most)
 
-    big = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("leader")).filter(F.col("n") > max_bucket)
-    big = cut(big.select("bucket", "leader"))
-    has_big = bool(big.take(1))
-    small = rows.join(big, "bucket", "left_anti") if has_big else rows
+    # most buckets hold one text: counting them first (partial sums in the map stage) leaves few rows to compare
+    shared = cut(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
+    rows = cut(rows.join(shared, "bucket"))
+    rows = cut(rows.join(reps.drop("sketch"), "k").drop("k"))
+    has_big = bool(shared.filter(F.col("n") > max_bucket).take(1))
+    small = rows.filter(F.col("n") <= max_bucket) if has_big else rows
     pairs = (
         small.alias("x")
         .join(small.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.key") < F.col("y.key")) & close("x", "y"))
@@ -241,13 +245,14 @@ def near_duplicates(
     def linked(pairs: DataFrame) -> DataFrame:
         pairs = cut(pairs)
         wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-        texts = _texts(source, rep_ids.join(wanted, "key", "left_semi"))
+        texts = _texts(source, cut(rep_ids.join(wanted, "key", "left_semi")))
         return cut(_verify(pairs, texts, threshold))
 
     links = linked(pairs)
     if has_big:
-        crowd = rows.join(big, "bucket")
-        lead = crowd.select("bucket", *(f"s{j}" for j in range(4)), "key").filter(F.col("key") == F.col("leader"))
+        crowd = rows.filter(F.col("n") > max_bucket)
+        crowd = crowd.join(crowd.groupBy("bucket").agg(F.min("key").alias("leader")), "bucket")
+        lead = crowd.filter(F.col("key") == F.col("leader")).select("bucket", *(f"s{j}" for j in range(4)), "key")
         first = (
             crowd.alias("x").join(lead.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.key") != F.col("y.key")) & close("x", "y"))
             .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
@@ -283,6 +288,8 @@ def _texts(source: DataFrame, reps: DataFrame) -> DataFrame:
         a, b = zip(*keep)
         return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.string())], names=["key", "text"])
 
+    if reps.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # some 120 bytes a row; else both sides are shuffled
+        reps = F.broadcast(reps)
     joined = source.join(reps, "id").select("key", "text")
     return cut(map_columns(joined, run, "key binary, text string").dropDuplicates(["key"]))
 
