@@ -31,6 +31,7 @@ from .common import cut, map_columns
 SAMPLE_CHUNKS, SAMPLE_WORDS, SAMPLE_DAMAGED = 1500, 30_000, 3000
 LEAST_COUNT = 3
 FREQUENT = 1e-4
+LONGEST_FURNITURE, LONGEST_WORD = 200, 100
 BROADCAST_ROWS = 100_000
 
 #: Words that stand before a page number. Fixed values.
@@ -68,7 +69,10 @@ def is_page(line: str) -> bool:
 
 def line_key(line: str) -> str:
     """Of lines that differ by a page number at an end or by look-alike characters only."""
-    letters = re.sub(r"^\W*\d+\s+(?=\D)|\s\s+\d+\W*$", "", line.strip()).lower()
+    line = line.strip()
+    if len(line) > LONGEST_FURNITURE:
+        return line.lower()
+    letters = re.sub(r"^\W*\d+\s+(?=\D)|\s\s+\d+\W*$", "", line).lower()
     for a, b in (("rn", "m"), ("vv", "w"), ("cl", "d"), ("ii", "u"), ("li", "h")):
         letters = letters.replace(a, b)
     return " ".join(letters.translate(_KEY).split())
@@ -97,9 +101,9 @@ def line_features(lines: list[str], repeats: dict[str, tuple[int, int]]) -> tupl
         times.append(n_doc)
         rows.append((
             len(words), letters / len(s), sum(c.isdigit() for c in s) / len(s), len(s) / max(1, width), s[:1].islower(), s[:1].isdigit(), ended[k],
-            bool(re.search(r"\d{4}/\d{2,4}$|\d{4}/\d{2,4}\s", s)), " – " in s or " | " in s, s.isupper(), k > 0 and not ended[k - 1], after[:1].islower(),
+            bool(re.search(r"\d{4}/\d{2,4}$|\d{4}/\d{2,4}\s", s[-LONGEST_FURNITURE:])), " – " in s or " | " in s, s.isupper(), k > 0 and not ended[k - 1], after[:1].islower(),
             math.log(n_all), s[-1:] in _HYPHENS, page[k], (k > 0 and page[k - 1]) or (k + 1 < len(text) and page[k + 1]),
-            sum(w[:1].isupper() for w in words) / len(words), bool(re.search(r"^\d+\s{2,}|\s{2,}\d+$", s)), "," in s, k == 0, k + 1 == len(text), before[-1:] in _HYPHENS and bool(before),
+            sum(w[:1].isupper() for w in words) / len(words), bool(re.search(r"^\d+\s{2,}|\s{2,}\d+$", s[:LONGEST_FURNITURE])), "," in s, k == 0, k + 1 == len(text), before[-1:] in _HYPHENS and bool(before),
         ))
     return np.array(rows, float).reshape(len(rows), 22), at, times
 
@@ -148,7 +152,7 @@ def tokens(line: str) -> list[tuple[str, str]]:
         words.pop()  # broken off
     for token in words:
         core = token.strip(_EDGES + _HYPHENS).lower()
-        if len(core) >= 3 and any(c.isalpha() for c in core):
+        if 3 <= len(core) <= LONGEST_WORD and any(c.isalpha() for c in core):
             out.append((token, core))
     return out
 
@@ -158,7 +162,8 @@ def broken_words(lines: list[str], kinds: list[str]) -> list[tuple[int, int, str
     text = [i for i, k in enumerate(kinds) if k == "text"]
     out = []
     for i, j in zip(text, text[1:]):
-        m = _BROKEN.search(lines[i].rstrip())
+        last = lines[i].split()[-1]
+        m = _BROKEN.search(last) if len(last) <= LONGEST_WORD else None
         first = lines[j].split()[0]
         if m and first[:1].isalpha() and (first[:1].islower() or m.group(1).isupper()):
             a = m.group(1).lstrip(_EDGES).lower()
@@ -323,7 +328,7 @@ def _with_repeats(rows: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, docs, keys = [], [], []
         for i, d, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            own = [line_key(x) for x in text.split("\n") if x.strip() and len(x) < 120]
+            own = [line_key(x) for x in text.split("\n") if x.strip() and len(x) <= LONGEST_FURNITURE]
             ids += [i] * len(own)
             docs += [d] * len(own)
             keys += own

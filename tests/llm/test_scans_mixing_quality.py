@@ -189,3 +189,31 @@ def test_statistics_of_a_known_text():
     s = Q.statistics("The cat sat. 12 %\nOn the mat.", Q.WordTraits(frozenset({"the", "on"})))
     assert s["word_count"] == 8 and s["line_end_ratio"] == 0.5 and s["common_ratio"] == pytest.approx(3 / 6)
     assert math.isclose(s["mean_word_length"], 23 / 8) or s["mean_word_length"] > 2
+
+
+LONG = ["a" * 400_000, " " * 400_000 + "x", "-" * 300_000, "word " * 100_000, "\n" * 200_000, "A1b2" * 100_000, "x. " * 100_000, "\"quoted " * 50_000, "9 " * 100_000]
+
+
+@pytest.mark.parametrize("text", LONG, ids=range(len(LONG)))
+def test_very_long_texts_take_little_time(text):
+    import time
+
+    from corpusmill.llm import languages as L
+    from corpusmill.llm import leakage as K
+    from corpusmill.llm import splitting as P
+
+    began = time.process_time()
+    Q.statistics(text, Q.WordTraits(frozenset({"a"})))
+    lines = text.split("\n")
+    S.line_features(lines, {})
+    kinds = ["text" if x.strip() else "blank" for x in lines]
+    S.repair_text(text, kinds, {})
+    for x in lines:
+        S.tokens(x)
+    model = L.LanguageModels(["a", "b"], [L.KneserNey(L.Counter({"aba": 2})), L.KneserNey(L.Counter({"cdc": 2}))], np.array([9.0, 9.0]), 1.0)
+    model.learn({w.lower() for w in L.LETTERS.findall(text)})
+    L.passages(text, model)
+    P.split_text(text, 350, 50, frozenset(P.STRENGTH))
+    K.words_of(text)
+    M.TokenCounter(f"{M.tokenizer_dir()}/{M.VOCABULARY}").count(text)
+    assert time.process_time() - began < 20
