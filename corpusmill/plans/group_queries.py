@@ -6,6 +6,7 @@ from ..functions import hashing as X
 from ..functions import text as T
 from ..operators import grouping as G
 from ..operators import joins as J
+from ..operators.consolidate import consolidate, overlay
 from .catalog import query, table
 
 
@@ -272,3 +273,33 @@ def eligibility(spark, d):
     status = F.col("extraction_status")
     reason = F.when(F.coalesce(status, F.lit("")) == "", "unknown_extraction_status").when(~status.isin("ok", "ok_ocr"), status).when(F.col("content_sha256").isNull(), "missing_content_sha256").when(F.col("word_count") < 10, "low_text")
     return table(spark, d, "text_index").select("attachment_id", reason.alias("exclusion")).distinct()
+
+
+_STEM = r"trim(regexp_replace(regexp_replace(regexp_replace(coalesce(nullif(filename, ''), regexp_extract(effective_url, '([^/]*)/?$', 1)), '(.)\.[^.]*$', '\1'), '[_-]+', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+@query("consolidated_attachments", f"""
+    WITH t AS (SELECT *, {_STEM} AS stem FROM text_index WHERE content_sha256 IS NOT NULL), s AS (SELECT *, len(regexp_extract_all(stem, '\\S+')) AS n FROM t),
+    g AS (SELECT content_sha256, arg_min(attachment_id, (coalesce(source_id, ''), effective_url, attachment_id)) AS primary_id, arg_min(stem, (-n, -length(stem), stem)) AS title, min(extracted_at) AS first_at, max(checked_at) AS last_at, count(DISTINCT attachment_id) AS records FROM s GROUP BY 1),
+    a AS (SELECT content_sha256, list_sort(list_distinct(list(u))) AS aliases FROM (SELECT content_sha256, unnest(list_append(coalesce(url_aliases, []), effective_url)) AS u FROM t) WHERE u IS NOT NULL GROUP BY 1)
+    SELECT content_sha256, primary_id, title, array_to_string(aliases, ' ') AS aliases, first_at, last_at, records FROM g LEFT JOIN a USING (content_sha256)""")
+def consolidated_attachments(spark, d):
+    order = [F.coalesce("source_id", F.lit("")), F.col("effective_url"), F.col("attachment_id")]
+    out = consolidate(table(spark, d, "text_index"), "content_sha256", order, "attachment_id", "filename", "effective_url", "url_aliases", "extracted_at", "checked_at")
+    return out.drop("url").withColumn("aliases", F.array_join("aliases", " "))
+
+
+@query("status_overlay", """
+    WITH r AS (SELECT content_sha256, CASE WHEN word_count < 150 THEN 'exclude' WHEN word_count < 250 THEN 'manual_review' ELSE 'ocr' END AS decision, 'words ' || word_count AS reason FROM text_index WHERE content_sha256 IS NOT NULL),
+    m AS (SELECT content_sha256, min((decision, coalesce(reason, ''))) AS x FROM r GROUP BY 1), d AS (SELECT content_sha256, x[1] AS decision, nullif(x[2], '') AS reason FROM m)
+    SELECT DISTINCT t.attachment_id, CASE d.decision WHEN 'exclude' THEN 'excluded_from_rag' WHEN 'manual_review' THEN 'manual_review' ELSE t.extraction_status END AS status,
+           array_to_string(CASE WHEN d.decision IN ('exclude', 'manual_review') AND d.reason IS NOT NULL AND NOT list_contains(coalesce(t.warnings, []), d.reason) THEN list_append(coalesce(t.warnings, []), d.reason) ELSE coalesce(t.warnings, []) END, ' / ') AS warnings
+    FROM text_index t LEFT JOIN d USING (content_sha256)""")
+def status_overlay(spark, d):
+    """Decisions by content laid over the index; here made up from the word counts."""
+    rows = table(spark, d, "text_index")
+    w = F.col("word_count")
+    decision = F.when(w < 150, "exclude").when(w < 250, "manual_review").otherwise("ocr")
+    rules = rows.filter("content_sha256 is not null").select("content_sha256", decision.alias("decision"), F.concat(F.lit("words "), w.cast("string")).alias("reason"))
+    out = overlay(rows, rules, "content_sha256", "extraction_status", "warnings", {"exclude": "excluded_from_rag", "manual_review": "manual_review"})
+    return out.select("attachment_id", F.col("extraction_status").alias("status"), F.array_join("warnings", " / ").alias("warnings")).distinct()

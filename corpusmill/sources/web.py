@@ -118,3 +118,36 @@ def judge_probes(probes: DataFrame, known_types: list[str]) -> DataFrame:
         "*", ext.alias("extension"), U.total_size(F.col("content_range"), F.col("content_length"), F.col("status")).alias("size"),
         F.coalesce(F.col("status").isin(200, 206), F.lit(False)).alias("reachable"), U.content_class(F.col("content_type"), ext, known_types).alias("content_class"),
     )
+
+
+def download(queue: DataFrame, url_col: str, get: Fetch | None = None, most_bytes: int = 30_000_000, partitions: int = 4) -> DataFrame:
+    """(url, status, content, content_sha256, etag, last_modified, error) of conditional requests.
+
+    ``queue`` may have ``etag`` and ``last_modified`` of the time before; unchanged files come as status 304 without
+    content. Files above ``most_bytes``, by header or by size, come as an error without content.
+    """
+    extra = [F.col(c).cast("string").alias(c) if c in queue.columns else F.lit(None).cast("string").alias(c) for c in ("etag", "last_modified")]
+    rows = queue.select(F.col(url_col).cast("string").alias("url"), *extra).filter("url is not null").dropDuplicates(["url"]).repartition(partitions, "url")
+
+    def run(batches):
+        import hashlib
+
+        import pandas as pd
+
+        ask = get or fetch
+        for pdf in batches:
+            out = []
+            for u, etag, modified in zip(pdf["url"], pdf["etag"], pdf["last_modified"]):
+                headers = {k: v for k, v in (("If-None-Match", etag), ("If-Modified-Since", modified)) if isinstance(v, str) and v}
+                try:
+                    status, h, body = ask(u, headers)
+                except OSError as e:
+                    out.append((u, None, None, None, None, None, str(e)[:300]))
+                    continue
+                size = int(h["content-length"]) if h.get("content-length", "").isdigit() else len(body)
+                large = max(size, len(body)) > most_bytes
+                ok = status == 200 and not large
+                out.append((u, status, body if ok else None, hashlib.sha256(body).hexdigest() if ok else None, h.get("etag"), h.get("last-modified"), "too large" if large else None))
+            yield pd.DataFrame(out, columns=["url", "status", "content", "content_sha256", "etag", "last_modified", "error"]).astype({"status": "Int32"})
+
+    return rows.mapInPandas(run, "url string, status int, content binary, content_sha256 string, etag string, last_modified string, error string")

@@ -185,3 +185,15 @@ def test_stream_keeps_the_latest_rows(spark, tmp_path):
         put("two", [("a", "2024-02-01", "upsert", "content_changed"), ("a", "2023-01-01", "upsert", "late"), ("c", "2024-02-01", "upsert", "new")])
     got = {r.document_id: r.reason for r in feeds.read_state(spark, str(tmp_path / "state")).collect()}
     assert got == {"a": "content_changed", "b": "new", "c": "new"}
+
+
+def test_downloads(spark):
+    def get(url, headers):
+        if headers.get("If-None-Match") == "v1":
+            return 304, {}, b""
+        return 200, {"etag": "v2"}, b"x" * (100 if "big" in url else 3)
+
+    df = spark.createDataFrame([("http://h/same", "v1"), ("http://h/new", None), ("http://h/big", None), (None, None)], "u string, etag string")
+    got = {r.url.rsplit("/")[-1]: r for r in web.download(df, "u", get, most_bytes=50).collect()}
+    assert got["same"].status == 304 and got["same"].content is None and got["big"].error == "too large" and got["big"].content is None
+    assert bytes(got["new"].content) == b"xxx" and len(got["new"].content_sha256) == 64 and got["new"].etag == "v2"
