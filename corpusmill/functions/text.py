@@ -26,15 +26,18 @@ HTML_ENTITY = r"&(?:nbsp|amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);"
 BLANK = r"[ \t\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u0085]"
 
 
+#: The same as a string, for trimming, which is far quicker than a pattern of many ranges.
+BLANKS = " \t\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\u0085"
+
+
 def _squeeze_lines(c: Column) -> Column:
-    c = F.regexp_replace(c, r"[ \t]+", " ")
-    c = F.regexp_replace(c, f"{BLANK}*\n{BLANK}*", "\n")
+    c = F.regexp_replace(c, r"[ \t]{2,}|\t", " ")
+    c = F.array_join(F.transform(F.split(c, "\n"), lambda line: F.trim(line, F.lit(BLANKS))), "\n")
     return F.regexp_replace(c, "\n{3,}", "\n\n")
 
 
 def _strip(c: Column) -> Column:
-    edge = BLANK.replace("[", "[\n", 1)
-    return F.regexp_replace(F.regexp_replace(c, f"^{edge}+", ""), f"{edge}+$", "")
+    return F.trim(c, F.lit("\n" + BLANKS))
 
 
 def normalize_text(c: Column) -> Column:
@@ -115,15 +118,16 @@ def is_list_item(line: Column) -> Column:
 
 def looks_like_heading(line: Column) -> Column:
     """Short lines that head what follows, by form alone."""
-    line = _strip(line)
-    words = word_count(line)
-    letters = F.regexp_replace(line, r"\P{L}", "")
-    upper = F.regexp_replace(letters, r"\P{Lu}", "")
-    loud = (F.length(letters) > 0) & (F.length(upper) >= 0.72 * F.length(letters)) & (words >= 2)
-    short = (words >= 1) & (words <= 18) & (F.length(line) <= 180)
-    by_form = F.when(line.rlike(NUMBERED_HEADING), True).when(line.endswith(":") & (words <= 14), True).when(line.rlike(r"[.!?;,]$"), False)
-    by_form = by_form.when(loud, True).otherwise((words <= 10) & line.rlike(r"^\p{Lu}"))
-    return F.coalesce(short & ~line.rlike(LIST_ITEM) & by_form, F.lit(False))
+
+    def by_form(line: Column) -> Column:
+        words = word_count(line)
+        letters, upper = F.length(F.regexp_replace(line, r"\P{L}", "")), F.length(F.regexp_replace(line, r"\P{Lu}", ""))
+        loud = (letters > 0) & (upper >= 0.72 * letters) & (words >= 2)
+        short = (F.length(line) <= 180) & (line != "") & (words <= 18)
+        form = F.when(line.rlike(NUMBERED_HEADING), True).when(line.endswith(":") & (words <= 14), True).when(line.rlike(r"[.!?;,]$"), False)
+        return short & ~line.rlike(LIST_ITEM) & form.when(loud, True).otherwise(line.rlike(r"^\p{Lu}") & (words <= 10))
+
+    return F.coalesce(let(_strip(line), by_form), F.lit(False))
 
 
 def split_sentences(c: Column) -> Column:
@@ -142,10 +146,11 @@ def let(value: Column, use) -> Column:
 
 
 def ngrams(c: Column, n: int) -> Column:
-    """Array of the n-grams of lower-cased word tokens; empty for fewer than n words."""
+    """Array of the n-grams of lower-cased word tokens, joined by blanks; empty for fewer than n words."""
     words = F.regexp_extract_all(F.lower(c), F.lit(r"(?U)(\w+)"), F.lit(1))
-    grams = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.slice(w, i, n))
-    return let(words, lambda w: F.when(F.size(w) >= n, grams(w)).otherwise(F.array()))
+    # joined to strings, which are told apart by hash; arrays of arrays would be compared one by one
+    grams = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))
+    return let(words, lambda w: F.when(F.size(w) >= n, grams(w)).otherwise(F.array().cast("array<string>")))
 
 
 def unique_ngram_ratio(c: Column, n: int = 5, least: int = 20) -> Column:

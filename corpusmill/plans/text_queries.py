@@ -21,10 +21,12 @@ def normal(c: str) -> str:
 def corpus_documents(spark, d):
     """Documents of ten words or more, normalised, one per content, with the copies it stands for."""
     rows = table(spark, d, "documents").filter("text is not null").withColumn("body", T.normalize_text(F.col("text")))
-    rows = rows.withColumn("words", T.word_count(F.col("body"))).filter("words >= 10").withColumn("content_sha256", F.sha2("body", 256))
+    rows = rows.withColumn("words", T.word_count(F.col("body"))).withColumn("content_sha256", F.sha2("body", 256))
     # the first document of a content stands for it; map-side partial aggregation keeps a hot content from one task
     first = F.min(F.struct("source", "doc_id", "url", "words", F.length("body").alias("chars")))
     groups = rows.groupBy("content_sha256").agg(first.alias("f"), F.count("*").alias("copies"))
+    # equal contents have equally many words: filtered here, the text isn't normalised twice (filters move below projections)
+    groups = groups.filter("f.words >= 10")
     return groups.select(F.concat(F.lit("web:"), "f.doc_id").alias("id"), "f.source", "f.url", "f.words", "f.chars", "content_sha256", "copies")
 
 
@@ -113,8 +115,8 @@ _NUMBERED_SQL = r"(?i)^(?:\d+(?:\.\d+){0,5}[.)]?|§\s*\d+)\s+\S+"
         WHEN letters > 0 AND n >= 2 AND upper_ >= 0.72 * letters THEN true ELSE n <= 10 AND regexp_matches(line, '^\p{{Lu}}') END""")
 def headings(spark, d):
     rows = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "line"))
-    rows = rows.select("doc_id", (F.col("p") + 1).alias("line_no"), T._strip(F.col("line")).alias("line"))
-    return rows.filter(T.looks_like_heading(F.col("line")))
+    rows = rows.filter(T.looks_like_heading(F.col("line")))
+    return rows.select("doc_id", (F.col("p") + 1).alias("line_no"), T._strip(F.col("line")).alias("line"))
 
 
 @query("list_items", f"WITH l AS ({_LINES}) SELECT doc_id, count(*) AS n FROM l WHERE regexp_matches(line, '{_LIST_SQL}') GROUP BY doc_id")
