@@ -60,7 +60,7 @@ def _label_occurrences(h: np.ndarray) -> np.ndarray:
 class Sketcher:
     """Order MinHash sketches and the signature of one text's words."""
 
-    def __init__(self, k: int = 5, picks: int = 2, sketches: int = 24, seed: int = 7):
+    def __init__(self, k: int = 5, picks: int = 2, sketches: int = 40, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.k, self.picks = k, picks
         self.mul = (rng.integers(1, 2**63, sketches).astype(np.uint64) * _U(2) + _U(1))[:, None]
@@ -204,7 +204,7 @@ def near_duplicates(
     min_words: int = 40,
     k: int = 5,
     picks: int = 2,
-    sketches: int = 24,
+    sketches: int = 40,
     max_bucket: int = 256,
 ) -> tuple[DataFrame, DataFrame]:
     """``(members, links)``: members has one row per id, (id, key, group_id, n_links); links are (a, b, similarity, alignment)
