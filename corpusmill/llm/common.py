@@ -45,13 +45,15 @@ def cut(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``mapInArrow`` of a function from batch to batch."""
+def map_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int = 2000) -> DataFrame:
+    """``mapInArrow`` of a function from batch to batch; it sees at most ``rows`` rows at once, which bounds the Python objects alive."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None and out.num_rows:
-                yield out
+            for start in range(0, batch.num_rows, rows):
+                out = fn(batch.slice(start, rows))
+                if out is not None and out.num_rows:
+                    yield out
 
     return df.mapInArrow(run, schema)
 

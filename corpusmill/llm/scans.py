@@ -311,7 +311,7 @@ def clean_words(rows: DataFrame, least: int = LEAST_COUNT) -> DataFrame:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 total.update(_CLEAN_WORD.findall(text.lower()))
-            if len(total) > 500_000:
+            if len(total) > 200_000:
                 yield out()
                 total.clear()
         if total:
@@ -450,7 +450,7 @@ def repair(chunks: DataFrame, text_index: DataFrame, accept: float = 0.5) -> tup
         strings = pa.list_(pa.string())
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.string()), pa.array(kinds, strings), pa.array(forms, strings)], names=["id", "text", "kinds", "forms"])
 
-    lined = cut(map_columns(rows.select("id", "text", "repeats"), read, "id string, text string, kinds array<string>, forms array<string>"))
+    lined = cut(map_columns(rows.select("id", "text", "repeats"), read, "id string, text string, kinds array<string>, forms array<string>", rows=250))
     uses = lined.select("id", "text", F.explode("forms").alias("form")).select("id", F.xxhash64("text").alias("h"), "form")
     forms = cut(_known_forms(uses.select("form").distinct(), words))
     # a known form can be a damaged one as well: where it lacks a mark that a far more frequent word has
@@ -474,7 +474,7 @@ def repair(chunks: DataFrame, text_index: DataFrame, accept: float = 0.5) -> tup
         kind = pa.list_(pa.struct([("line_no", pa.int64()), ("kind", pa.string()), ("word", pa.string())]))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(out, kind)], names=["id", "text", "damage"])
 
-    done = cut(map_columns(joined, write, "id string, text string, damage array<struct<line_no long, kind string, word string>>"))
+    done = cut(map_columns(joined, write, "id string, text string, damage array<struct<line_no long, kind string, word string>>", rows=250))
     return done.select("id", F.explode("damage").alias("d")).select("id", "d.*").distinct(), done.select("id", "text").distinct()
 
 
