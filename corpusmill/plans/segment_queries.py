@@ -37,6 +37,14 @@ def rechunked_chunks(spark, d):
     return S.chunk_documents(rows, "id", "text", "title", target_words=120)
 
 
+def packed_sentences(rows):
+    """(doc_id, segments): greedy packing of each text's sentences into segments of 60 words at most, as a fold inside the JVM."""
+    sizes = F.filter(F.transform(F.split("text", T.SENTENCE_BREAK), lambda s: T.word_count(s)), lambda n: n > 0)
+    start = F.struct(F.lit(0).alias("seg"), F.lit(1 << 20).alias("size"))
+    step = lambda a, n: F.when(a["size"] + n > 60, F.struct((a["seg"] + 1).alias("seg"), n.alias("size"))).otherwise(F.struct(a["seg"].alias("seg"), (a["size"] + n).alias("size")))
+    return rows.select("doc_id", F.aggregate(sizes, start, step, lambda a: a["seg"]).cast("long").alias("segments")).filter("segments > 0")
+
+
 @query("sentence_packing", r"""
     WITH RECURSIVE h AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL AND length(text) < 1200),
     p AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?…])\s+([A-ZĄĆĘŁŃÓŚŹŻ0-9„"(§])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda s: len(regexp_extract_all(s, '[^\s\x{a0}]+'))), lambda n: n > 0) AS n FROM h),
@@ -44,9 +52,16 @@ def rechunked_chunks(spark, d):
       UNION ALL SELECT doc_id, n, i + 1, CASE WHEN size + n[i + 1] > 60 THEN seg + 1 ELSE seg END, CASE WHEN size + n[i + 1] > 60 THEN n[i + 1] ELSE size + n[i + 1] END FROM g WHERE i < len(n))
     SELECT doc_id, CAST(max(seg) AS BIGINT) AS segments FROM g GROUP BY doc_id""")
 def sentence_packing(spark, d):
-    """Greedy packing of sentences into segments of 60 words at most, as a fold inside the JVM."""
-    rows = table(spark, d, "documents").filter("text is not null and length(text) < 1200").select("doc_id", "text").distinct()
-    sizes = F.filter(F.transform(F.split("text", T.SENTENCE_BREAK), lambda s: T.word_count(s)), lambda n: n > 0)
-    start = F.struct(F.lit(0).alias("seg"), F.lit(1 << 20).alias("size"))
-    step = lambda a, n: F.when(a["size"] + n > 60, F.struct((a["seg"] + 1).alias("seg"), n.alias("size"))).otherwise(F.struct(a["seg"].alias("seg"), (a["size"] + n).alias("size")))
-    return rows.select("doc_id", F.aggregate(sizes, start, step, lambda a: a["seg"]).cast("long").alias("segments")).filter("segments > 0")
+    """The short documents only, as its SQL has them; sentence_packing_all has every document."""
+    return packed_sentences(table(spark, d, "documents").filter("text is not null and length(text) < 1200").select("doc_id", "text").distinct())
+
+
+@query("sentence_packing_all", r"""
+    WITH RECURSIVE h AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
+    p AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?…])\s+([A-ZĄĆĘŁŃÓŚŹŻ0-9„"(§])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda s: len(regexp_extract_all(s, '[^\s\x{a0}]+'))), lambda n: n > 0) AS n FROM h),
+    g(doc_id, n, i, seg, size) AS (SELECT doc_id, n, 1, 1, n[1] FROM p WHERE len(n) > 0
+      UNION ALL SELECT doc_id, n, i + 1, CASE WHEN size + n[i + 1] > 60 THEN seg + 1 ELSE seg END, CASE WHEN size + n[i + 1] > 60 THEN n[i + 1] ELSE size + n[i + 1] END FROM g WHERE i < len(n))
+    SELECT doc_id, CAST(max(seg) AS BIGINT) AS segments FROM g GROUP BY doc_id""")
+def sentence_packing_all(spark, d):
+    """Every document with a text, whatever its length."""
+    return packed_sentences(table(spark, d, "documents").filter("text is not null").select("doc_id", "text").distinct())
