@@ -8,8 +8,9 @@ candidates; a banded alignment and the exact share of common three-word runs dec
 
 Scale: one Python pass over the texts emits about 250 bytes a row; everything after moves only those bytes, and the
 texts of candidates. Equal texts collapse to one representative before any pair is formed. Buckets above
-``max_bucket`` members don't form all pairs: all members are first compared with one leader, and only pairs with
-a member that isn't linked to the leader are compared further, so no component is lost.
+``max_bucket`` members are compared in tiles, to which each text travels once and not with every pair. Where only
+the groups are wanted (``every_link=False``), such buckets don't form all pairs: all members are first compared with
+one leader, and only pairs with a member that isn't linked to the leader are compared further, so no component is lost.
 """
 
 from __future__ import annotations
@@ -196,6 +197,37 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return map_columns(joined, run, "a binary, b binary, similarity double, alignment double")
 
 
+def _verify_tiles(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """As ``_verify`` for pairs with a tile (bucket, i, j): a text travels once to each tile that has a pair with it."""
+    tile = ["bucket", "i", "j"]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        text = dict(zip(right["key"].to_pylist(), right["text"].to_pylist()))
+        known: dict[bytes, list[str]] = {}
+        held = 0
+        keep = []
+        for a, b in sorted(zip(left["a"].to_pylist(), left["b"].to_pylist())):
+            if a not in text or b not in text:
+                continue
+            for key in (a, b):
+                if key not in known:
+                    if held > 500_000:  # words at once
+                        known = {k: known[k] for k in (a, b) if k in known}
+                        held = sum(map(len, known.values()))
+                    known[key] = WORD.findall(text[key].lower())
+                    held += len(known[key])
+            share, aligned = compare(known[a], known[b])
+            if share >= threshold:
+                keep.append((a, b, share, aligned))
+        cols = list(zip(*keep)) or [()] * 4
+        types = [pa.binary(), pa.binary(), pa.float64(), pa.float64()]
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["a", "b", "similarity", "alignment"])
+
+    wanted = pairs.select(*tile, F.explode(F.array("a", "b")).alias("key")).distinct().join(texts, "key")
+    wanted = wanted.select(*tile, "key", "text").toDF("bucket_", "i_", "j_", "key", "text")
+    return pairs.groupBy(*tile).cogroup(wanted.groupBy("bucket_", "i_", "j_")).applyInArrow(run, "a binary, b binary, similarity double, alignment double")
+
+
 def near_duplicates(
     df: DataFrame,
     id_col: str = "id",
@@ -206,9 +238,12 @@ def near_duplicates(
     picks: int = 2,
     sketches: int = 40,
     max_bucket: int = 256,
+    every_link: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """``(members, links)``: members has one row per id, (id, key, group_id, n_links); links are (a, b, similarity, alignment)
-    between keys, where a key stands for all ids with equal words.
+    between keys, where a key stands for all ids with equal words, and n_links counts those of a key, whatever the size of
+    a bucket. ``every_link=False`` is for groups only: links of buckets above ``max_bucket`` are then a set that
+    spans the groups, and members have no n_links.
 
     Defined cases: null ids, null texts and texts under ``min_words`` words have no row; a repeated id counts once
     (with different texts, each text counts and the id is a member of each group); equal texts are in one group
@@ -242,14 +277,26 @@ def near_duplicates(
     rep_ids = rows.select("key", "id").distinct()
     source = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
 
-    def linked(pairs: DataFrame) -> DataFrame:
+    def linked(pairs: DataFrame, verify=_verify) -> DataFrame:
         pairs = cut(pairs)
         wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
         texts = _texts(source, cut(rep_ids.join(wanted, "key", "left_semi")))
-        return cut(_verify(pairs, texts, threshold))
+        return cut(verify(pairs, texts, threshold))
 
     links = linked(pairs)
-    if has_big:
+    if has_big and every_link:
+        crowd = rows.filter(F.col("n") > max_bucket).withColumn("m", F.ceil(F.col("n") / max_bucket))
+        place = lambda key: F.pmod(F.xxhash64(key), F.col("m"))
+        x, y = crowd.withColumn("i", place("key")), crowd.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)))
+        close_pairs = (
+            x.alias("x").join(y.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.key") < F.col("y.key")) & close("x", "y"))
+            # a pair that shares several buckets is compared in one of them
+            .groupBy(F.col("x.key").alias("a"), F.col("y.key").alias("b")).agg(F.min(F.struct("x.bucket", "x.m")).alias("t"))
+            .join(links.select("a", "b"), ["a", "b"], "left_anti")
+            .select("a", "b", "t.*").select("a", "b", "bucket", place("a").alias("i"), place("b").alias("j"))
+        )
+        links = cut(links.union(linked(close_pairs, _verify_tiles)))
+    elif has_big:
         crowd = rows.filter(F.col("n") > max_bucket)
         crowd = crowd.join(crowd.groupBy("bucket").agg(F.min("key").alias("leader")), "bucket")
         lead = crowd.filter(F.col("key") == F.col("leader")).select("bucket", *(f"s{j}" for j in range(4)), "key")
@@ -266,13 +313,11 @@ def near_duplicates(
         )
         links = cut(links.union(star).union(linked(more)).dropDuplicates(["a", "b"]))
     groups = components(links.select("a", "b"))
+    members = members.join(groups.withColumnRenamed("node", "key"), "key", "left").select("id", "key", F.coalesce("component", "key").alias("group_id"))
+    if not every_link:
+        return members, links
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
-    out = (
-        members.join(groups.withColumnRenamed("node", "key"), "key", "left")
-        .join(degree, "key", "left")
-        .select("id", "key", F.coalesce("component", "key").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    )
-    return out, links
+    return members.join(degree, "key", "left").select("id", "key", "group_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), links
 
 
 def _texts(source: DataFrame, reps: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from .common import table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    members, _ = near_duplicates.near_duplicates(table(spark, d, "chunks"))
+    members, _ = near_duplicates.near_duplicates(table(spark, d, "chunks"), every_link=False)
     return near_duplicates.group_pairs(members)
 
 
