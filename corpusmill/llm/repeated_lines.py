@@ -1,15 +1,14 @@
 """Lines repeated across one source's documents (problem 4).
 
-Lines are parsed into templates by fixed-depth token trees: a line descends by its source, its number of tokens and its
-first tokens (tokens with digits as a wildcard) to a leaf, and joins the leaf's template with which most tokens agree;
-tokens that differ become wildcard slots. Each task builds the trees of its own lines; trees are merged by
-inserting the templates of a branch in one place, where equal branches meet by a hash of source, length and first tokens.
-A template is removed from a source when it covers enough of its documents; within a template, each line is held
-against its own count, so a wildcard never takes lines that are rare themselves.
-
-Scale: distinct lines, not texts, are shuffled, after counting in the map stage; documents are counted exactly from
-(source, line, document) hashes of 128 bits. No source, line or template is gathered in one task: a branch of the
-tree holds templates only, and a hot source is spread over its branches.
+All distinct lines are parsed into templates by fixed-depth token trees: a line descends by its source, its number of
+tokens and its first tokens (tokens with digits as a wildcard) to a leaf, and joins the leaf's template with which most
+tokens agree; tokens that differ become wildcard slots. Lines meet by a hash of source, length, first and last tokens.
+A template is a candidate in a source when it covers enough of its documents, each counted once; within a template, each
+line is held against its own count, so a wildcard never takes lines that are rare themselves.
+
+Scale: distinct lines, not texts, are shuffled; documents are counted exactly from (source, line, document) hashes of 128
+bits. No source, line or template is gathered in one task: a task holds one branch of a tree at a time, and a
+hot source is spread over its branches.
 """
 
 from __future__ import annotations
@@ -69,26 +68,33 @@ class TokenTree:
 
 
 def _parse(rows: DataFrame, likeness: float) -> DataFrame:
-    """(source, line, docs, template): the template that each line has once its task has read all its lines. ``line`` is a
-    key or a template of another tree."""
+    """(source, h1, h2, template) of each of ``rows(source, line, docs, h1, h2)``: the template that the line has once all lines
+    of its branch are read, most documents first."""
 
     def run(batches):
-        trees: dict[str, TokenTree] = {}
-        kept: list[tuple[pa.Array, pa.Array, pa.Array, list[Template]]] = []
+        at, tree = None, TokenTree(likeness)
+        held: list[tuple[str, int, int, Template]] = []
+
+        def out():
+            s, a, b, t = zip(*held)
+            texts = pa.array([" ".join(x.tokens) for x in t], pa.string())
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(s, pa.string()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), texts], names=["source", "h1", "h2", "template"])
+
         for batch in batches:
-            source, line, docs = (batch.column(i) for i in range(3))
-            found = []
-            for s, k in zip(source.to_pylist(), line.to_pylist()):
-                tree = trees.get(s)
-                if tree is None:
-                    tree = trees[s] = TokenTree(likeness)
-                found.append(tree.insert(k.split(" ")))
-            kept.append((source, line, docs, found))
-        for source, line, docs, found in kept:
-            texts = pa.array([" ".join(t.tokens) for t in found], pa.string())
-            yield pa.RecordBatch.from_arrays([source, line, docs, texts], names=["source", "line", "docs", "template"])
+            for source, line, h1, h2, branch in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                if (source, branch) != at:
+                    at, tree = (source, branch), TokenTree(likeness)
+                    if len(held) >= 2000:
+                        yield out()
+                held.append((source, h1, h2, tree.insert(line.split(" "))))
+        if held:
+            yield out()
 
-    return rows.mapInArrow(run, "source string, line string, docs long, template string")
+    words = F.split("line", " ")
+    branch = F.xxhash64("source", F.size(words), F.slice(words, 1, DEPTH), F.element_at(words, -1))
+    rows = rows.withColumn("branch", branch).repartition("branch").sortWithinPartitions("branch", "source", F.desc("docs"), "line")
+    return rows.select("source", "line", "h1", "h2", "branch").mapInArrow(run, "source string, h1 long, h2 long, template string")
 
 
 def repeated_lines(
@@ -96,12 +102,13 @@ def repeated_lines(
     min_docs: int = 5, min_share: float = 0.04, min_letters: int = 10, likeness: float = 0.6,
 ) -> tuple[DataFrame, DataFrame]:
     """``(lines, templates)``: (id, line_no) of each repeated line, and (source, template, key, docs, need, template_docs)
-    of the lines that repeat, with the template that covers them and the most documents it can cover.
+    of the lines that repeat, with the template that covers them and the documents it covers. A template that covers
+    enough documents by lines none of which repeats enough itself has one row, without key and docs.
 
     Defined cases: null ids, texts or documents give no lines; a null source is a source of its own; empty lines
     count for the numbering and never repeat; a line counts once per document; rows delivered twice count once;
     an empty table gives empty results; other columns are ignored. Documents of a source count even where their text
-    is null. Trees are grown from lines of two documents or more, as a line of one document isn't repeated.
+    is null.
     """
     rows = df.select(
         F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(doc_col).cast("string").alias("doc"),
@@ -119,29 +126,28 @@ def repeated_lines(
         .select("id", "doc", "source", (F.col("at") + 1).cast("long").alias("line_no"), "key",
                 F.xxhash64("source", "key").alias("h1"), F.xxhash64(F.lit(77), "key", "source").alias("h2"))
     )
-    per_doc = lines.select("h1", "h2", F.xxhash64("doc").alias("d1"), F.hash("doc", F.lit(7)).alias("d2")).distinct()
-    counts = cut(per_doc.groupBy("h1", "h2").agg(F.count("*").alias("docs")).filter("docs >= 2"))
-    keys = lines.select("source", "key", "h1", "h2").distinct().join(counts, ["h1", "h2"])
-    keys = cut(keys.select("source", F.col("key").alias("line"), "docs", "h1", "h2"))
-    local = cut(_parse(keys.select("source", "line", "docs"), likeness))
-    # merging: the templates of all tasks are inserted into one tree per branch, most documents first
-    branch = F.concat_ws(" ", F.size(F.split("line", " ")), F.slice(F.split("line", " "), 1, DEPTH))
-    ours = local.groupBy("source", F.col("template").alias("line")).agg(F.sum("docs").alias("docs"))
-    ours = ours.withColumn("branch", branch).repartition("source", "branch").sortWithinPartitions(F.desc("docs"), "line")
-    merged = _parse(ours.select("source", "line", "docs"), likeness).withColumnRenamed("template", "merged")
-    joined = local.withColumnRenamed("template", "own").join(
-        merged.select("source", F.col("line").alias("own"), "merged"), ["source", "own"]
-    )
-    parsed = cut(joined.select("source", "line", F.col("merged").alias("template")))
-    # no template covers more documents than its lines together: only those that cover enough are looked at further
-    covers = parsed.join(keys, ["source", "line"]).groupBy("source", "template").agg(F.sum("docs").alias("template_docs"))
-    covers = covers.join(need, "source").filter("template_docs >= need")
+    per_doc = cut(lines.select("h1", "h2", F.xxhash64("doc").alias("d1"), F.hash("doc", F.lit(7)).alias("d2")).distinct())
+    counts = per_doc.groupBy("h1", "h2").agg(F.count("*").alias("docs"))
+    keys = lines.groupBy("h1", "h2").agg(F.min(F.struct("source", F.col("key").alias("line"))).alias("r")).select("h1", "h2", "r.*")
+    keys = cut(keys.join(counts, ["h1", "h2"]))
+    t1, t2 = F.xxhash64("source", "template").alias("t1"), F.xxhash64(F.lit(77), "template", "source").alias("t2")
+    parsed = cut(_parse(keys.select("source", "line", "docs", "h1", "h2"), likeness).select("*", t1, t2))
+    # no template covers more documents than its lines together: documents are counted only where those are enough
+    by = parsed.select("source", "t1", "t2", "h1", "h2").join(keys.select("h1", "h2", "docs"), ["h1", "h2"])
+    wide = by.groupBy("source", "t1", "t2").agg(F.count("*").alias("n"), F.sum("docs").alias("together"), F.max("docs").alias("most"))
+    wide = cut(wide.join(need, "source").filter("together >= need"))
+    several = by.join(wide.filter("n > 1").select("t1", "t2"), ["t1", "t2"]).select("t1", "t2", "h1", "h2").join(per_doc, ["h1", "h2"])
+    several = several.select("t1", "t2", "d1", "d2").distinct().groupBy("t1", "t2").agg(F.count("*").alias("covered"))
+    covers = wide.join(several, ["t1", "t2"], "left").withColumn("template_docs", F.coalesce("covered", "together"))
+    covers = cut(covers.filter("template_docs >= need").select("t1", "t2", "most", "need", "template_docs"))
+    covered = parsed.join(covers, ["t1", "t2"])
     removed = cut(
-        parsed.join(covers, ["source", "template"]).join(keys, ["source", "line"]).filter("docs >= need")
-        .select("source", "template", F.col("line").alias("key"), "docs", "need", "template_docs", "h1", "h2")
+        covered.filter("most >= need").join(keys.select("h1", "h2", F.col("line").alias("key"), "docs"), ["h1", "h2"]).filter("docs >= need")
+        .select("source", "template", "key", "docs", "need", "template_docs", "h1", "h2")
     )
+    slots = covered.filter("most < need").select("source", "template", F.lit(None).cast("string").alias("key"), F.lit(None).cast("long").alias("docs"), "need", "template_docs").distinct()
     found = lines.select("id", "line_no", "h1", "h2").join(removed.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi")
-    return found.select("id", "line_no").distinct(), removed.drop("h1", "h2")
+    return found.select("id", "line_no").distinct(), removed.drop("h1", "h2").unionByName(slots)
 
 
 def without_lines(df: DataFrame, found: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
