@@ -2,8 +2,9 @@
 
 Lines: running headers, footers and page numbers are told from text by boosted trees over each line and its neighbours,
 trained on lines that tell themselves (a line that repeats within its document is furniture, one that carries on a
-sentence is text). Words hyphenated across lines are joined over the furniture between them; whether a hyphen belongs to the
-word is decided by a second line-pair classifier from counts of the joined and the hyphenated word.
+sentence is text). Words hyphenated across lines are joined over the furniture between them, by a rule and not a classifier: a continuation
+begins with a small letter, or with a character that stands for one where the clean words know the joined word. Counts
+of the joined and the hyphenated word decide whether a hyphen belongs to the word.
 Words: forms that the collection's clean texts don't have get correction candidates by a join of positional character
 bigrams with the clean words; boosted trees rank them, trained on clean words damaged by the confusions that the collection
 itself shows.
@@ -157,19 +158,33 @@ def tokens(line: str) -> list[tuple[str, str]]:
     return out
 
 
-def broken_words(lines: list[str], kinds: list[str]) -> list[tuple[int, int, str, str]]:
-    """(line, next line, first part, second part) of the words that go on in the next line of the text."""
+def broken_words(lines: list[str], kinds: list[str], known: dict[str, tuple[int, str | None]] | None = None) -> list[tuple[int, int, str, str]]:
+    """(line, next line, first part, second part) of the words that go on in the next line of the text.
+
+    A second part may begin with a misread character (a figure, or a capital that looks like its small letter). With ``known``, it
+    goes on only if the joined word is known or has a correction; without, all that may go on are given.
+    """
     text = [i for i, k in enumerate(kinds) if k == "text"]
     out = []
     for i, j in zip(text, text[1:]):
         last = lines[i].split()[-1]
         m = _BROKEN.search(last) if len(last) <= LONGEST_WORD else None
+        if not m:
+            continue
         first = lines[j].split()[0]
-        if m and first[:1].isalpha() and (first[:1].islower() or m.group(1).isupper()):
+        sure = first[:1].isalpha() and (first[:1].islower() or m.group(1).isupper())
+        figure = ord(first[0]) in _LOOK and first[1:2].isalpha()
+        capital = first[0] in "IO" and first[1:2].islower() and m.group(1)[-1].islower()
+        if sure or figure or capital:
             a = m.group(1).lstrip(_EDGES).lower()
-            b = first.strip(_EDGES + _HYPHENS).lower()
-            if a and b and a[:1].isalpha():
-                out.append((i, j, a, b))
+            b = (first.rstrip(_EDGES + _HYPHENS) if figure else first.strip(_EDGES + _HYPHENS)).lower()
+            if not (a and b and a[:1].isalpha()):
+                continue
+            if not sure and known is not None:
+                n, fix = known.get(a + b, (0, None))
+                if not n and not (fix and figure):
+                    continue
+            out.append((i, j, a, b))
     return out
 
 
@@ -500,7 +515,7 @@ def repair_text(text: str, kinds: list[str], known: dict[str, tuple[int, str | N
     found: list[tuple[int, str, str]] = [(n, k, "") for n, k in enumerate(kinds, 1) if k in ("header", "page")]
     marks = sum(_bare(c) != c for c in text.lower())
     has_marks = marks * 100 >= 3 * sum(c.isalpha() for c in text)
-    parts = broken_words(lines, kinds)
+    parts = broken_words(lines, kinds, known)
     first = {i: (a, b, j) for i, j, a, b in parts}
     second = {j for _, j, _, _ in parts}
     for i, j, a, b in parts:
