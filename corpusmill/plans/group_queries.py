@@ -134,9 +134,20 @@ def work_queue(spark, d):
 
 @query("natural_order", "SELECT filename, CAST(row_number() OVER (ORDER BY CAST(regexp_extract(filename, '(\\d+)', 1) AS BIGINT), filename) AS VARCHAR) AS k FROM (SELECT DISTINCT filename FROM text_index WHERE regexp_matches(filename, '^\\d+\\.pdf$'))")
 def natural_order(spark, d):
-    rows = table(spark, d, "text_index").filter(F.col("filename").rlike(r"^\d+\.pdf$")).select("filename").distinct()
+    """The names of figures only, as its SQL has them; natural_order_all has every name."""
+    return numbered_names(table(spark, d, "text_index").filter(F.col("filename").rlike(r"^\d+\.pdf$")))
+
+
+@query("natural_order_all")
+def natural_order_all(spark, d):
+    """Every file name, whatever letters and figures it has."""
+    return numbered_names(table(spark, d, "text_index").filter("filename is not null"))
+
+
+def numbered_names(rows):
+    """(filename, k): distinct names numbered in natural order."""
     shape, figures, _ = G.natural_order(F.col("filename"))
-    rows = rows.select("filename", shape.alias("shape"), figures.alias("figures"))
+    rows = rows.select("filename").distinct().select("filename", shape.alias("shape"), figures.alias("figures"))
     return G.number_rows(rows, ["shape", "figures", "filename"], "k", "%d").select("filename", "k")
 
 

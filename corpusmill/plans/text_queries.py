@@ -53,10 +53,16 @@ def word_counts(spark, d):
 
 @query("token_counts", r"SELECT doc_id, len(regexp_extract_all(text, '[''-]*[\p{L}\p{Nd}\p{Nl}\p{M}\p{Pc}×÷][\p{L}\p{Nd}\p{Nl}\p{M}\p{Pc}×÷''-]*')) AS tokens FROM documents WHERE NOT regexp_matches(text, '[^\x00-\x{2fff}]') AND text IS NOT NULL")
 def token_counts(spark, d):
+    """Documents without characters above U+2FFF, as its SQL has them; token_counts_all has every document."""
     rows = table(spark, d, "documents").filter("text is not null").filter(~F.col("text").rlike(r"[^\x00-\x{2fff}]"))
     return rows.select("doc_id", T.token_count(F.col("text")).alias("tokens"))
 
 
+@query("token_counts_all")
+def token_counts_all(spark, d):
+    return table(spark, d, "documents").filter("text is not null").select("doc_id", T.token_count(F.col("text")).alias("tokens"))
+
+
 @query("clean_titles", r"""
     SELECT DISTINCT id, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(replace(title, '_', ' '), '\s+', ' ', 'g'), '^[ _–—-]+', ''), '[ _–—-]+$', ''), ''), 'Bez tytułu') AS title FROM chunks""")
 def clean_titles(spark, d):
