@@ -14,6 +14,8 @@ ENGLISH_WORDS = ("and", "are", "as", "at", "be", "by", "for", "from", "in", "is"
 POLISH_MARKS = "ąćęłńóśźż"
 ABBREVIATIONS = ("np.", "nr.", "art.", "ust.", "pkt.", "poz.", "r.", "dr.", "prof.", "mgr.", "inż.", "e.g.", "i.e.")
 SENTENCE_BREAK = r'(?<=[.!?…])\s+(?=[A-ZĄĆĘŁŃÓŚŹŻ0-9„"(§])'
+#: The same for engines without look-around: the end and the beginning as groups.
+SENTENCE_BREAK_PAIR = r'([.!?…])\s+([A-ZĄĆĘŁŃÓŚŹŻ0-9„"(§])'
 LIST_ITEM = r"(?i)^(?:[-*•▪◦–—]|(?:\d+|[A-Za-z]|[IVXLCDM]+)[.)]|§\s*\d+)"
 NUMBERED_HEADING = r"(?i)^(?:\d+(?:\.\d+){0,5}[.)]?|§\s*\d+)\s+\S+"
 GENERIC_LABEL = r"(?i)^(?:strona|page|slajd|slide|arkusz|sheet)\s+\d+$"

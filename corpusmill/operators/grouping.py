@@ -7,6 +7,20 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import known
 
+BROADCAST_KEYS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most`` rows, which is counted; else unchanged, and joins shuffle it."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def delivered_once(df: DataFrame, key: str) -> DataFrame:
+    """Distinct rows of a table in which equal rows have equal, non-null keys: only the rows of keys that came more than once are
+    shuffled, the others stay where they are."""
+    again = bounded_broadcast(df.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1").select(key))
+    return df.join(again, key, "left_anti").unionByName(df.join(again, key, "left_semi").distinct())
+
 
 def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """First ``n`` rows of each group. Spark keeps only ``n`` rows a group in the map stage (window group limit)."""
@@ -52,8 +66,9 @@ def collect_in_order(df: DataFrame, keys: list[str], position: str, value: str,
 
 def number_rows(df: DataFrame, order: list[str], name: str, pattern: str) -> DataFrame:
     """Ids of rows in total order, without moving all rows to one task: a range sort, the rows of each range counted, and the
-    counts before a range added to the place within it. ``order`` must be a key."""
-    sorted_df = df.repartitionByRange(*order)
+    counts before a range added to the place within it. ``order`` must be a key. The number of ranges is fixed, so that adaptive
+    execution doesn't merge them differently in the two branches that read them."""
+    sorted_df = df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order)
     parts = sorted_df.withColumn("_part", F.spark_partition_id())
     inner = parts.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = inner.groupBy("_part").agg(F.count("*").alias("_n"))

@@ -99,46 +99,55 @@ def _hits(words):
     return f"len(list_filter(words, lambda w: w IN ({known})))"
 
 
-@query("function_word_languages", f"""
-    WITH h AS (SELECT doc_id, lower(substring(text, 1, 12000)) AS t FROM documents WHERE text IS NOT NULL),
-    w AS (SELECT doc_id, regexp_extract_all(t, '[A-Za-z\\x{{c0}}-\\x{{17e}}]+') AS words, length(t) - length(translate(t, '{T.POLISH_MARKS}', '')) AS marks FROM h),
-    s AS (SELECT doc_id, CAST({_hits(T.POLISH_WORDS)} AS DOUBLE) + CAST(marks AS DOUBLE) * CAST(0.35 AS DOUBLE) AS pl, CAST({_hits(T.ENGLISH_WORDS)} AS DOUBLE) AS en FROM w)
-    SELECT doc_id, CASE WHEN pl = 0 AND en = 0 THEN NULL WHEN pl >= en * CAST(1.25 AS DOUBLE) THEN 'pl' WHEN en >= pl * CAST(1.25 AS DOUBLE) THEN 'en' ELSE 'pl-en' END AS language FROM s""")
+def language_sql(c: str) -> str:
+    """``detect_language`` of a text column."""
+    head = f"lower(substring({c}, 1, 12000))"
+    words = f"regexp_extract_all({head}, '[A-Za-z\\x{{c0}}-\\x{{17e}}]+')"
+    pl = f"(CAST({_hits(T.POLISH_WORDS).replace('words', words)} AS DOUBLE) + CAST(length({head}) - length(translate({head}, '{T.POLISH_MARKS}', '')) AS DOUBLE) * CAST(0.35 AS DOUBLE))"
+    en, more = f"CAST({_hits(T.ENGLISH_WORDS).replace('words', words)} AS DOUBLE)", "CAST(1.25 AS DOUBLE)"
+    return f"CASE WHEN {pl} = 0 AND {en} = 0 THEN NULL WHEN {pl} >= {en} * {more} THEN 'pl' WHEN {en} >= {pl} * {more} THEN 'en' ELSE 'pl-en' END"
+
+
+@query("function_word_languages", f"SELECT doc_id, {language_sql('text')} AS language FROM documents WHERE text IS NOT NULL")
 def function_word_languages(spark, d):
     return table(spark, d, "documents").filter("text is not null").select("doc_id", T.detect_language(F.col("text")).alias("language"))
 
 
 _LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents WHERE text IS NOT NULL"
-_LIST_SQL = r"(?i)^(?:[-*•▪◦–—]|(?:\d+|[A-Za-z]|[IVXLCDM]+)[.)]|§\s*\d+)"
+LIST_SQL = r"(?i)^(?:[-*•▪◦–—]|(?:\d+|[A-Za-z]|[IVXLCDM]+)[.)]|§\s*\d+)"
 _NUMBERED_SQL = r"(?i)^(?:\d+(?:\.\d+){0,5}[.)]?|§\s*\d+)\s+\S+"
 
 
+def heading_sql(c: str) -> str:
+    """``looks_like_heading`` of a line without blanks at its ends."""
+    n, letters, upper = rf"len(regexp_extract_all({c}, '[^\s\x{{a0}}]+'))", rf"length(regexp_replace({c}, '\P{{L}}', '', 'g'))", rf"length(regexp_replace({c}, '\P{{Lu}}', '', 'g'))"
+    return rf"""({n} BETWEEN 1 AND 18 AND length({c}) <= 180 AND NOT regexp_matches({c}, '{LIST_SQL}') AND CASE WHEN regexp_matches({c}, '{_NUMBERED_SQL}') THEN true WHEN {c} LIKE '%:' AND {n} <= 14 THEN true
+        WHEN regexp_matches({c}, '[.!?;,]$') THEN false WHEN {letters} > 0 AND {n} >= 2 AND {upper} >= 0.72 * {letters} THEN true ELSE {n} <= 10 AND regexp_matches({c}, '^\p{{Lu}}') END)"""
+
+
 @query("headings", rf"""
-    WITH l AS ({_LINES}), s AS (SELECT doc_id, line_no, regexp_replace(regexp_replace(line, '^[\s\x{{a0}}]+', ''), '[\s\x{{a0}}]+$', '') AS line FROM l),
-    w AS (SELECT *, len(regexp_extract_all(line, '[^\s\x{{a0}}]+')) AS n, length(regexp_replace(line, '\P{{L}}', '', 'g')) AS letters, length(regexp_replace(line, '\P{{Lu}}', '', 'g')) AS upper_ FROM s)
-    SELECT doc_id, line_no, line FROM w WHERE n BETWEEN 1 AND 18 AND length(line) <= 180 AND NOT regexp_matches(line, '{_LIST_SQL}')
-    AND CASE WHEN regexp_matches(line, '{_NUMBERED_SQL}') THEN true WHEN line LIKE '%:' AND n <= 14 THEN true WHEN regexp_matches(line, '[.!?;,]$') THEN false
-        WHEN letters > 0 AND n >= 2 AND upper_ >= 0.72 * letters THEN true ELSE n <= 10 AND regexp_matches(line, '^\p{{Lu}}') END""")
+    WITH l AS ({_LINES}), s AS (SELECT doc_id, line_no, regexp_replace(regexp_replace(line, '^[\s\x{{a0}}]+', ''), '[\s\x{{a0}}]+$', '') AS line FROM l)
+    SELECT doc_id, line_no, line FROM s WHERE {heading_sql('line')}""")
 def headings(spark, d):
     rows = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "line"))
     rows = rows.filter(T.looks_like_heading(F.col("line")))
     return rows.select("doc_id", (F.col("p") + 1).alias("line_no"), T._strip(F.col("line")).alias("line"))
 
 
-@query("list_items", f"WITH l AS ({_LINES}) SELECT doc_id, count(*) AS n FROM l WHERE regexp_matches(line, '{_LIST_SQL}') GROUP BY doc_id")
+@query("list_items", f"WITH l AS ({_LINES}) SELECT doc_id, count(*) AS n FROM l WHERE regexp_matches(line, '{LIST_SQL}') GROUP BY doc_id")
 def list_items(spark, d):
     rows = table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     return rows.filter(T.is_list_item(F.col("line"))).groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
-def _held(c: str) -> str:
+def held(c: str) -> str:
     for a in T.ABBREVIATIONS:
         c = f"regexp_replace({c}, '(?i){a.replace('.', chr(92) + '.')}', '{a.replace('.', chr(0x241F))}', 'g')"
     return c
 
 
 @query("sentences", rf"""
-    WITH h AS (SELECT doc_id, {_held('text')} AS t FROM documents WHERE text IS NOT NULL),
+    WITH h AS (SELECT doc_id, {held('text')} AS t FROM documents WHERE text IS NOT NULL),
     m AS (SELECT doc_id, string_split(regexp_replace(t, '([.!?…])\s+([A-ZĄĆĘŁŃÓŚŹŻ0-9„"(§])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS parts FROM h),
     p AS (SELECT doc_id, list_filter(list_transform(parts, lambda s: trim(replace(s, chr(9247), '.'))), lambda s: s <> '') AS parts FROM m)
     SELECT doc_id, len(parts) AS n, md5(array_to_string(parts, chr(1))) AS h FROM p""")

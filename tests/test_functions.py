@@ -97,12 +97,35 @@ def test_hashes(spark):
     assert values(spark, [None], lambda c: X.duplicate_key(c, F.lit(3), F.lit("x"))) == [None]
 
 
-def test_runs_and_prefixes():
+def test_repeats():
     words = [f"w{i}" for i in range(9)]
-    assert S.one_prefix(words * 4 + ["end"] * 2) == [*words, "end", "end"]
-    assert S.one_prefix(words * 2 + ["end"] * 20) == words * 2 + ["end"] * 20
-    assert S.one_run("a b c d e f".split() + "x y".split() * 5 + "g h i j".split()) == "a b c d e f x y g h i j".split()
-    assert S.one_run(["z"] * 16) == ["z"] * 4
+    assert S.without_repeats(words * 4 + ["end"] * 2) == [*words, "end", "end"]
+    assert S.without_repeats(words * 2 + ["end"] * 20) == [*words * 2, *["end"] * 5]
+    assert S.without_repeats(words * 2 + [f"e{i}" for i in range(20)]) == words * 2 + [f"e{i}" for i in range(20)]
+    assert S.without_repeats("a b c d e f".split() + "x y".split() * 5 + "g h i j".split()) == "a b c d e f x y g h i j".split()
+    assert S.without_repeats(["z"] * 16) == ["z"] * 4 and S.without_repeats(["z"] * 15) == ["z"] * 15 and S.without_repeats([]) == []
+
+
+def plain_runs(words, longest=24, least=4):
+    """From the left, the longest block that stands four times or more, by trying all."""
+    out = []
+    while words:
+        size = next((k for k in range(longest, 1, -1) if len(words) >= least * k and words[: least * k] == words[:k] * least), 0)
+        out += words[:size] if size else words[:1]
+        if not size:
+            words = words[1:]
+        else:
+            block = words[:size]
+            while words[:size] == block:
+                words = words[size:]
+    return out
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.sampled_from("abc"), min_size=1, max_size=7), st.integers(1, 7)), min_size=8, max_size=20))
+def test_runs_equal_those_found_by_trying_all(parts):
+    words = ["!"] + [w for block, times in parts for w in block * times] + list("defgh") * 3
+    assert S.without_repeats(words) == plain_runs(words)
 
 
 @settings(max_examples=120, deadline=None)
@@ -116,8 +139,68 @@ def test_segments_keep_limits(parts, target):
 
 
 def test_units_and_chunks(spark):
-    text = "Wstęp\n- jeden\nciąg dalszy\n- dwa.\nTekst akapitu."
-    assert [(u.kind, u.text) for u in S.units_of_text(text)] == [("heading", "Wstęp"), ("list", "- jeden ciąg dalszy"), ("list", "- dwa."), ("paragraph", "Tekst akapitu.")]
-    df = spark.createDataFrame([("d", "T", "słowo " * 1500), ("d", "T", "słowo " * 1500), ("e", None, None), ("f", "F", "")], "id string, title string, text string")
-    out = S.chunk_documents(df, "id", "text", "title").orderBy("chunk_index").collect()
+    text = "Wstęp\n- jeden\nciąg dalszy\n- dwa.\nTekst akapitu.\n- trzy\nRozdział\ndalej"
+    kinds = [(u.kind, u.text) for u in S.units_of_text(text)]
+    assert kinds == [("heading", "Wstęp"), ("list", "- jeden ciąg dalszy\n- dwa."), ("paragraph", "Tekst akapitu."), ("list", "- trzy"), ("heading", "Rozdział"), ("paragraph", "dalej")]
+    many = " ".join(f"słowo{i}" for i in range(200))
+    assert [u.kind for u in S.units_of_text(many)] == ["paragraph"]
+    assert [u.kind for u in S.units_of_text(f"Jeden. Dwa. Trzy {many}")] == ["sentence_group"] * 3
+    df = spark.createDataFrame([("d", "T", "słowo " * 1500), ("d", "T", "słowo " * 1500), ("e", None, None), ("f", "F", ""), (None, "x", "y " * 9)], "id string, title string, text string")
+    assert S.chunk_documents(df, "id", "text", "title").count() == 0  # one word over and over is said twice, which is too short
+    df = spark.createDataFrame([("d", "T", " ".join(f"słowo{i}" for i in range(1500))), ("d", "T", " ".join(f"słowo{i}" for i in range(1500))), ("e", None, None)], "id string, title string, text string")
+    out = S.chunk_documents(df, "id", "text", "title", keep=("id",)).orderBy("chunk_index").collect()
+    assert [r.word_count for r in out] == [700, 700, 100] and {r.chunk_count for r in out} == {3} and all(r.forced_split for r in out)
     assert out[0].id == "d:chunk:0001" and out[0].embedding_text.startswith("T\n\nsłowo") and {r.document_id for r in out} == {"d"}
+    assert S.chunk_documents(df.limit(0), "id", "text").count() == 0
+
+
+def test_sections_give_pages_labels_and_context(spark):
+    page = lambda n, label, kind, text: {"section_id": f"s{n}", "label": label, "kind": kind, "page_number": n, "text": text}
+    found = S.segments("unused", 60, sections=[page(1, "Strona 1", "page", "Tytuł\n\n" + " ".join(f"a{i}" for i in range(50))), page(2, "Zasady", "page", "WSTĘP OGÓLNY\n\njeden dwa trzy cztery pięć."), {"text": None}, None])
+    assert len(found) == 1  # the second would be too short
+    one = found[0]
+    assert (one["page_start"], one["page_end"], one["section_kind"], one["slide_start"]) == (1, 2, "page", None)
+    assert one["context_path"] == ["Tytuł", "Zasady", "WSTĘP OGÓLNY"] and one["section_labels"] == ["Strona 1", "Zasady"] and one["unit_kinds"] == ["heading", "paragraph"]
+    assert S.segments("Sam tekst ma tu pięć słów.", 60, sections=[])[0]["section_ids"] == []
+
+
+def test_chunks_equal_their_sql_on_made_texts(spark):
+    import random
+
+    import duckdb
+    import pandas as pd
+
+    from corpusmill.plans import catalog
+    from corpusmill.plans import segment_queries as Q
+
+    from .oracle import table
+
+    catalog.queries()
+    rng = random.Random(3)
+    words = "ala ma kota Dom Rok 2024 Art. np. koniec. Start: A) b. - * 1. IV. WSTĘP CEL; tak, dużo. Pytanie? słowo".split()
+
+    def line():
+        some = lambda a, b, of=words: " ".join(rng.choices(of, k=rng.randint(a, b)))
+        k = rng.random()
+        if k < 0.2:
+            return "- " + some(1, 6)
+        if k < 0.3:
+            return " ".join([some(1, 12)] * rng.randint(2, 9)) + " " + some(0, 9)
+        if k < 0.36:
+            return some(700, 1600, words[:3]) + "; " + some(3, 900, words[:3])
+        return some(100, 1600) if k < 0.4 else some(1, 14)
+
+    rows = []
+    for d in range(40):
+        for s in range(rng.randint(1, 4)):
+            text = "".join(line() + rng.choice(["\n", "\n", "\n\n"]) for _ in range(rng.randint(1, 14)))
+            rows.append((f"d{d}", "T", None, s, rng.choice([None, "s1", f"s{s}"]), rng.choice([None, "Strona 3", f"Dział {s}"]), rng.choice([None, "page", "slide", "worksheet"]), s + 1, s, rng.choice([None, "Ark"]), text))
+    con = duckdb.connect()
+    con.register("x", pd.DataFrame(rows, columns="doc title lang sec sid label kind page slide sheet text".split()))
+    df = spark.createDataFrame(rows, "doc string, title string, lang string, sec int, section_id string, label string, kind string, page_number int, slide_number int, sheet_name string, text string")
+    section = F.struct("sec", "section_id", "label", "kind", "page_number", "slide_number", "sheet_name", "text")
+    docs = df.groupBy("doc", "title").agg(F.array_sort(F.collect_list(section)).alias("sections")).withColumn("text", F.lit(None).cast("string"))
+    for target, flatten in ((350, True), (100, False)):
+        found = con.execute(Q.chunk_sql("SELECT * FROM x", target, flatten))
+        out = Q._shown(S.chunk_documents(docs, "doc", "text", "title", target, flatten, "sections"))
+        assert table(out.columns, out.collect()) == table([c[0] for c in found.description], found.fetchall())
