@@ -48,11 +48,11 @@ def p3_passages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return repeated_lines.repeated_lines(table(spark, d, "chunks"))[0]
+    return repeated_lines.repeated_lines(table(spark, d, "chunks"))[1]
 
 
 def p4_templates(spark: SparkSession, d: str) -> DataFrame:
-    return repeated_lines.repeated_lines(table(spark, d, "chunks"))[1]
+    return repeated_lines.repeated_lines(table(spark, d, "chunks"))[2]
 
 
 def p4_clean(spark: SparkSession, d: str) -> DataFrame:

@@ -125,7 +125,7 @@ def test_repeated_lines_are_those_of_brute_force(spark):
         rows.append((f"c{k}", "\n".join(body), f"d{k // 2}", None if k % 11 == 0 else s))
     rows += rows[:7] + [("x", None, "dx", "big"), (None, "Share this page | print", "dy", "big"), ("z", "Share this page | print", None, "big"), ("e", "", "de", "big")]
     df = spark.createDataFrame(rows, "id string, text string, document_id string, source_id string")
-    found, templates = R.repeated_lines(df)
+    covered, found, templates = R.repeated_lines(df)
     got = {(r.id, r.line_no) for r in found.collect()}
     assert got == brute_lines(rows) and got
     assert templates.filter("docs < need or template_docs < docs").count() == 0
@@ -133,12 +133,24 @@ def test_repeated_lines_are_those_of_brute_force(spark):
     for i, text, *_ in rows:
         if i is not None and text is not None:
             assert clean[i] == "\n".join(x for n, x in enumerate(text.split("\n"), 1) if (i, n) not in got)
-    assert R.repeated_lines(df.limit(0))[0].count() == 0
-
-
-def test_token_tree_gives_slots():
-    tree = R.TokenTree(0.6)
-    a = tree.insert("written by anna nowak today".split())
-    b = tree.insert("written by jan nowak today".split())
-    c = tree.insert("written by".split())
-    assert a is b and a.tokens == ["written", "by", R.SLOT, "nowak", "today"] and c is not a
+    assert got <= {(r.id, r.line_no) for r in covered.collect()}
+    assert [x.count() for x in R.repeated_lines(df.limit(0))] == [0, 0, 0]
+
+
+def test_leaf_gives_slots_and_keeps_enough_constants():
+    leaf = R.Leaf(0.6, 10)
+    a = leaf.insert("written by anna nowak today".split())
+    b = leaf.insert("written by jan nowak today".split())
+    c = leaf.insert("written by ewa lis today".split())
+    d = leaf.insert("written by ewa lis tonight".split())
+    assert a == b == c and leaf.templates[a] == ["written", "by", R.SLOT, R.SLOT, "today"] and d != a
+    short = R.Leaf(0.5, 10)
+    assert short.insert(["read", "more", "news"]) != short.insert(["read", "more", "jobs"])  # eight letters would stay
+
+
+def test_parts_of_a_leaf_are_merged(spark):
+    names = [f"name{chr(97 + i)}{chr(97 + j)}" for i in range(9) for j in range(9)]
+    forms = spark.createDataFrame([(1, f"written by {n} for all our readers", 1) for n in names] + [(2, "another line of its own", 3)], "leaf long, form string, docs long")
+    whole = {tuple(r) for r in R.grow_trees(forms, 0.6, 10).collect()}
+    assert whole == {tuple(r) for r in R.grow_trees(forms, 0.6, 10, part_forms=7).collect()}
+    assert {t for _, _, t in whole} == {f"written by {R.SLOT} for all our readers", "another line of its own"}
