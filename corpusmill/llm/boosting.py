@@ -6,7 +6,7 @@ import numpy as np
 
 
 class BoostedTrees:
-    """Logistic loss, trees of fixed depth over quantile bins of the features."""
+    """Logistic loss, trees of fixed depth over bins of the features."""
 
     def __init__(self, rounds: int = 40, depth: int = 3, rate: float = 0.25, bins: int = 24, least: float = 2.0):
         self.rounds, self.depth, self.rate, self.bins, self.least = rounds, depth, rate, bins, least
@@ -14,7 +14,7 @@ class BoostedTrees:
     def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> BoostedTrees:
         x, y = np.asarray(x, float), np.asarray(y, float)
         w = np.ones(len(y)) if weight is None else weight
-        self.cuts = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1])) for c in x.T]
+        self.cuts = [self._cuts(c) for c in x.T]
         b = np.stack([np.searchsorted(k, c, side="right") for k, c in zip(self.cuts, x.T)], 1)
         p = np.clip(np.average(y, weights=w), 1e-3, 1 - 1e-3)
         self.base = float(np.log(p / (1 - p)))
@@ -51,6 +51,14 @@ class BoostedTrees:
             f += value[leaf]
         return self
 
+    def _cuts(self, values: np.ndarray) -> np.ndarray:
+        """Between all values where they are few, else at quantiles of the rows and of the distinct values, so that rare ones are told apart."""
+        distinct = np.unique(values)
+        if len(distinct) <= self.bins:
+            return (distinct[1:] + distinct[:-1]) / 2
+        at = np.linspace(0, 1, self.bins // 2 + 2)[1:-1]
+        return np.unique(np.r_[np.quantile(values, at), np.quantile(distinct, at)])
+
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Probability of class 1."""
         x = np.asarray(x, float)

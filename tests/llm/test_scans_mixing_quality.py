@@ -37,13 +37,32 @@ def test_edits():
     assert S.edit("same", "same") is None and S.edit("abcdef", "xyzdzz") is None
 
 
-def test_whole_words():
-    known = {"transporcie": (9, None), "polsko-angielski": (5, None), "dydaktyczno-": (3, None), "-techniczny": (4, None), "egzarninem": (0, "egzaminem")}
-    assert S.whole_word("trans", "porcie", known) == ("transporcie", None)
-    assert S.whole_word("polsko", "angielski", known) == ("polsko-angielski", None)
-    assert S.whole_word("dydaktyczno", "techniczny", known) == ("dydaktyczno-techniczny", None)
-    assert S.whole_word("egzar", "ninem", known) == ("egzarninem", "egzaminem")
-    assert S.whole_word("nowe", "słowo", known) == ("nowesłowo", None)
+def test_line_keys_and_page_number_ends():
+    assert S.line_key("12  Regulamin studiów") == S.line_key("Regulamin studiów   13") == S.line_key("Regu1amin studiow") != S.line_key("Regulamin zajęć")
+    assert S.line_key("rok 2024") != S.line_key("rok 2025") and S.line_key("x" * 100_000) == S.line_key(" " + "x" * 100_000)
+    assert S.numbered("7  Uczelnia") and S.numbered("Uczelnia   7") and not S.numbered("Uczelnia 7") and not S.numbered("7")
+
+
+def test_long_headers_and_long_words_are_looked_at(spark):
+    head = "Uczelnia " + "NiezwykleDługaNazwaKomórkiOrganizacyjnejUczelni " * 7 + "– egzemplarz archiwalny"
+    word = "a" + "bcdefghij" * 12
+    assert len(head) > 300 and S.tokens("x " + word + " y") == [(word, word)]
+    body = lambda k: f"Tekst numer {'abcdefghij'[k]} ma kilka zdań, które idą dalej w następnej\n{head}\n{k + 2}\nlinii tekstu i kończą się kropką.\nDrugie zdanie tego akapitu też jest pełne."
+    chunks = spark.createDataFrame([(f"c{k}", "attachment:h", body(k % 10)) for k in range(30)], "id string, document_id string, text string")
+    index = spark.createDataFrame([("h", "ok_ocr")], "content_sha256 string, extraction_status string")
+    found = {(r.id, r.line_no, r.kind) for r in S.repair(chunks, index)[0].collect()}
+    assert {(f"c{k}", 2, "header") for k in range(30)} | {(f"c{k}", 3, "page") for k in range(30)} <= found
+
+
+def test_words_without_marks_are_ranked_by_both_counts():
+    rng = random.Random(2)
+    words = {"ręka": 700, "reka": 2, "łat": 8, "lat": 900}
+    for k in range(600):
+        stem = "".join(rng.choices("bdghkmprtuwy", k=4))
+        words |= {f"{stem}ę": rng.choice([3, 30, 300, 900]), f"{stem}e": rng.choice([3, 30, 300, 900])}
+    r = S.Ranker(words, {(b, a): 3.0 for a, b in zip(*S.MARKS)}, {})
+    score = lambda form, word: float(r.score(np.array([S.features(form, word, S.shared_grams(form, word), words[word], 3.0, words[form])]))[0])
+    assert score("reka", "ręka") > 0.5 > score("lat", "łat")
 
 
 WORDS = "biblioteka komisja wniosek stypendium egzamin dziekanat regulamin harmonogram rekrutacja uczelnia semestr wykładowca laboratorium zarządzenie rektora studentów".split()
@@ -105,7 +124,7 @@ def test_scans_without_rows(spark):
 
 def test_hyphens_over_furniture(spark):
     text = "To jest zwykły tekst o sprawach, które kończy hyph-\n[3]\nenacja i dalej.\nKoniec."
-    found, fixed = S.repair_text(text, ["text", "page", "text", "text"], {"hyphenacja": (4, None)})
+    found, fixed = S.repair_text(text, ["text", "page", "text", "text"], {"hyphenacja": (4, None)}, S.JoinModel({}))
     assert found == [(1, "hyphen", "hyphenacja"), (2, "page", "")]
     assert "hyphenacja i dalej" in fixed and "[3]" not in fixed
 
@@ -207,7 +226,7 @@ def test_very_long_texts_take_little_time(text):
     lines = text.split("\n")
     S.line_features(lines, {})
     kinds = ["text" if x.strip() else "blank" for x in lines]
-    S.repair_text(text, kinds, {})
+    S.repair_text(text, kinds, {}, S.JoinModel({}))
     for x in lines:
         S.tokens(x)
     model = L.LanguageModels(["a", "b"], [L.KneserNey(L.Counter({"aba": 2})), L.KneserNey(L.Counter({"cdc": 2}))], np.array([9.0, 9.0]), 1.0)
