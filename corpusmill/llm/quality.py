@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +24,10 @@ TYPES = ("prose", "list", "table", "junk")
 
 _ALPHA = re.compile(r"[^\W\d_]+")
 _BULLET = re.compile(r"^\s*(?:[-*•–—▪◦·>»+o✓→]|\(?\d{1,3}[.)]|\(?[a-zA-Z][.)])\s+")
-_SENTENCE_END = re.compile(r"[.!?…][\"'”»)\]]*\s*$")
+_ENDS = tuple(".!?…")
 _CODE = re.compile(r"[{}<>=;\\$#]|\(\)|::|->|\b(?:function|return|var|const|def|class|import|if|else|null|true|false|void|int|for|while)\b")
 _BLOB = re.compile(r"[A-Za-z0-9+/=_-]{32,}|(?:[0-9a-f]{2}[ :]?){16,}|(?:%[0-9A-F]{2}){6,}|(?:\\[ux][0-9a-fA-F]{2,4}){4,}|(?:&#x?[0-9a-fA-F]+;){4,}")
+_HEX = re.compile(r"[0-9a-f:]{2,}")
 _MANGLED = re.compile(r"[�ÃÂÄÅâÐÑ¤¦¬±³¼½¾€™‚ƒ„†‡ˆ‰‹Œ¢£¥]")
 _CLUSTER = re.compile(r"[bcdfghjklmnpqrstvwxz]{4,}", re.I)
 _VOWEL = re.compile(r"[aeiouyąęóäöüаеєиіїоуюяы]", re.I)
@@ -68,28 +68,65 @@ def cells(line: str) -> int:
     return 0
 
 
-class WordTraits:
-    """Bits of a lower-cased word, kept once known: 1 common, 2 four letters or more, 4 a cluster of consonants or no vowel."""
+class TokenTraits:
+    """What each token adds to a text's statistics, worked out once: a text's sums are sums of rows of a table.
 
-    def __init__(self, common: frozenset[str]):
-        self.common, self.known = common, {}
+    Columns: characters, letters, digits, words (runs of letters), common words, words of four letters or more, those of them with a cluster of
+    consonants or no vowel, code tokens, marks of code, characters of broken encodings, characters of hexadecimal figures.
+    """
+
+    COLUMNS = 11
+    MOST = 200_000
 
-    def of(self, words: list[str]) -> list[int]:
+    def __init__(self, common: frozenset[str]):
+        self.common = common
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.words: list[list[str]] = []
+        self.table = np.zeros((1024, self.COLUMNS), np.int64)
+
+    def _row(self, token: str) -> tuple[list[str], tuple[int, ...]]:
+        words = _ALPHA.findall(token.lower())
+        long = [w for w in words if len(w) >= 4]
+        return words, (
+            len(token), sum(map(len, words)), sum(map(len, _DIGITS.findall(token))), len(words), sum(w in self.common or _plain(w) in self.common for w in words), len(long),
+            sum(bool(_CLUSTER.search(w)) or not _VOWEL.search(w) for w in long), len(_CODE.findall(token)), len(_MARKS.findall(token)), len(_MANGLED.findall(token)),
+            len(token) if _HEX.fullmatch(token) else 0,
+        )
+
+    def ids(self, tokens: list[str]) -> list[int]:
         known = self.known
         try:
-            return [known[w] for w in words]
+            return [known[t] for t in tokens]
         except KeyError:
-            if len(known) > 1_000_000:
-                known.clear()
-            for w in words:
-                if w not in known:
-                    long = len(w) >= 4
-                    odd = long and (bool(_CLUSTER.search(w)) or not _VOWEL.search(w))
-                    known[w] = (w in self.common or _plain(w) in self.common) | long << 1 | odd << 2
-            return [known[w] for w in words]
+            for t in tokens:
+                if t not in known:
+                    words, row = self._row(t)
+                    k = len(self.words)
+                    if k == len(self.table):
+                        self.table = np.concatenate((self.table, np.zeros_like(self.table)))
+                    self.table[k] = row
+                    self.words.append(words)
+                    known[t] = k
+            return [known[t] for t in tokens]
+
+    def common_words(self, tokens: list[str]) -> int:
+        return int(self.table[self.ids(tokens), 4].sum())
 
 
-def statistics(text: str, traits: WordTraits) -> dict[str, float]:
+def ends_sentence(line: str) -> bool:
+    return line.rstrip().rstrip("\"'”»)]")[-1:] in _ENDS
+
+
+def longest_run(values: np.ndarray) -> int:
+    """Greatest sum of neighbours that aren't 0."""
+    some = values > 0
+    return int(np.add.reduceat(values, np.flatnonzero(np.r_[True, some[1:] != some[:-1]])).max())
+
+
+def statistics(text: str, traits: TokenTraits) -> dict[str, float]:
     """Statistics of one text; shares are between 0 and 1, all 0 for a text without a word."""
     tokens = text.split()
     n = len(tokens)
@@ -97,27 +134,28 @@ def statistics(text: str, traits: WordTraits) -> dict[str, float]:
     out["word_count"] = float(n)
     if not n:
         return out
-    alpha = _ALPHA.findall(text.lower())
-    bits = traits.of(alpha)
-    chars = sum(map(len, tokens))
-    letters = sum(map(len, alpha))
-    digits = sum(map(len, _DIGITS.findall(text)))
+    if len(traits.known) > traits.MOST:
+        traits.forget()
+    ids = traits.ids(tokens)
+    each = traits.table[ids]
+    chars, letters, digits, words, common, long, odd, code, marks, mangled, figures = each.sum(0).tolist()
+    found, times = np.unique(ids, return_counts=True)
+    distinct = set().union(*map(traits.words.__getitem__, found.tolist()))
     out["mean_word_length"] = chars / n
     out["symbol_ratio"] = max(0, chars - letters - digits) / chars
     out["digit_ratio"] = digits / chars
-    long = sum(b >> 1 & 1 for b in bits)
-    out["common_ratio"] = sum(b & 1 for b in bits) / max(1, len(alpha))
-    out["cluster_ratio"] = sum(b >> 2 for b in bits) / max(1, long)
-    out["distinct_ratio"] = len(set(alpha)) / max(1, len(alpha))
-    out["top_word_ratio"] = max(Counter(tokens).values()) / n
-    if max(map(len, tokens)) >= 20 or "%" in text or "\\" in text or "&#" in text:
+    out["common_ratio"] = common / max(1, words)
+    out["cluster_ratio"] = odd / max(1, long)
+    out["distinct_ratio"] = len(distinct) / max(1, words)
+    out["top_word_ratio"] = int(times.max()) / n
+    # only such texts can hold what the pattern finds
+    if each[:, 0].max() >= 32 or (figures >= 20 and longest_run(each[:, 10]) >= 20) or text.count("%") >= 6 or text.count("\\") >= 4 or text.count("&#") >= 4:
         out["blob_ratio"] = sum(map(len, _BLOB.findall(text))) / chars
-    if not text.isascii():
-        out["mangled_ratio"] = len(_MANGLED.findall(text)) / chars
-    if _MARKS.search(text):
-        out["code_ratio"] = len(_CODE.findall(text)) / n
+    out["mangled_ratio"] = mangled / chars
+    out["code_ratio"] = code / n if marks else 0.0
     lines = [x for x in text.splitlines() if x.strip()]
-    out["line_end_ratio"] = sum(bool(_SENTENCE_END.search(x)) for x in lines) / len(lines)
+    ended = [ends_sentence(x) for x in lines]
+    out["line_end_ratio"] = sum(ended) / len(lines)
     sizes = [len(x.split()) for x in lines]
     out["mean_line_words"] = n / len(lines)
     # rows of cells: a line counts where a neighbour is one as well
@@ -125,22 +163,20 @@ def statistics(text: str, traits: WordTraits) -> dict[str, float]:
     in_table = [bool(c) and any(rows[j] for j in (i - 1, i + 1) if 0 <= j < len(rows)) for i, c in enumerate(rows)]
     out["table_share"] = sum(s for s, t in zip(sizes, in_table) if t) / n
     # the rest as items or sentences
-    listed = ended = 0
+    listed = 0
     i = 0
     while i < len(lines):
         if in_table[i]:
             i += 1
             continue
-        line = lines[i]
         j = i + 1
-        words = sizes[i]
-        bullet = bool(_BULLET.match(line))
+        count = sizes[i]
+        bullet = bool(_BULLET.match(lines[i]))
         # a line goes on in the next where no sentence ends and the next starts small
-        while j < len(lines) and not in_table[j] and not _SENTENCE_END.search(lines[j - 1]) and not _BULLET.match(lines[j]) and _goes_on(lines[j - 1], lines[j], words):
-            words += sizes[j]
+        while j < len(lines) and not in_table[j] and not ended[j - 1] and not _BULLET.match(lines[j]) and _goes_on(lines[j - 1], lines[j], count):
+            count += sizes[j]
             j += 1
-        unit = " ".join(lines[i:j])
-        listed += _listed_words(unit, words, bullet, words / (j - i), traits)
+        listed += _listed_words(" ".join(lines[i:j]), count, bullet, count / (j - i), traits)
         i = j
     out["list_share"] = listed / n
     out["sentence_share"] = max(0.0, 1 - out["list_share"] - out["table_share"])
@@ -155,16 +191,16 @@ def _goes_on(line: str, after: str, so_far: int) -> bool:
     return line.rstrip()[-1:] in ",–-„(" or (so_far >= 4 and len(line) >= 45 and not after.strip().endswith(":"))
 
 
-def _listed_words(unit: str, words: int, bullet: bool, a_line: float, traits: WordTraits) -> int:
+def _listed_words(unit: str, words: int, bullet: bool, a_line: float, traits: TokenTraits) -> int:
     """How many of the words of a run of lines stand in items that are no sentences."""
     body = _BULLET.sub("", unit, count=1) if bullet else unit
     if _SEPARATOR.search(body):
         parts = [p for p in _MENU.split(body) if p.strip()]
-        if len(parts) >= 4 and words <= 6 * len(parts) and not _SENTENCE_END.search(parts[0]):
+        if len(parts) >= 4 and words <= 6 * len(parts) and not ends_sentence(parts[0]):
             return words
-    if words >= 6 and _SENTENCE_END.search(body[-8:]):
+    if words >= 6 and ends_sentence(body):
         return 0
-    if words >= 9 and a_line >= 4 and sum(b & 1 for b in traits.of(_ALPHA.findall(body.lower()))) >= (1 if not bullet else 3):
+    if words >= 9 and a_line >= 4 and traits.common_words(body.split()) >= (1 if not bullet else 3):
         return 0
     return words
 
@@ -175,7 +211,6 @@ STATISTICS = (
 )
 
 
-
 def _garbled(s: dict[str, float]) -> bool:
     return s["blob_ratio"] > 0.3 or s["mangled_ratio"] > 0.08 or s["code_ratio"] > 0.25 or (s["cluster_ratio"] > 0.3 and s["common_ratio"] < 0.05)
 
@@ -250,7 +285,7 @@ def text_types(df: DataFrame, common_words: DataFrame, id_col: str = "doc_id", t
     names = ["doc_id", *STATISTICS, "votes"]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        traits = run.__dict__.get("traits") or run.__dict__.setdefault("traits", WordTraits(common))
+        traits = run.__dict__.get("traits") or run.__dict__.setdefault("traits", TokenTraits(common))
         found = [statistics(t, traits) for t in batch.column(1).to_pylist()]
         votes = [sum(1 << j for j, (_, fire) in enumerate(VOTES) if fire(s)) for s in found]
         cols = [batch.column(0), *(pa.array([s[k] for s in found], pa.float64()) for k in STATISTICS), pa.array(votes, pa.int32())]
