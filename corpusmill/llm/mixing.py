@@ -25,7 +25,10 @@ from pyspark.sql import functions as F
 from .common import cut, map_columns
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-BLOCKS = 4096
+#: Blocks of a source's stream are told by so many bits of a hash.
+BLOCK_BITS = 12
+#: Copies of one document that one row is turned into at once.
+COPIES = 1000
 
 
 def tokenizer_dir() -> str:
@@ -81,7 +84,7 @@ def token_counts(df: DataFrame, doc_id: str, text: str, source: str, path: str)
 def _streams(counts: DataFrame) -> DataFrame:
     """(doc_id, source, tokens, before): tokens of the source's documents that come earlier in its stream. The order is that of a
     hash of the id; blocks of the hash are summed first, so no task sees a whole source."""
-    rows = counts.withColumn("h", F.xxhash64("doc_id", F.lit(11))).withColumn("block", F.shiftrightunsigned("h", 52).cast("int"))
+    rows = counts.withColumn("h", F.xxhash64("doc_id", F.lit(11))).withColumn("block", F.shiftrightunsigned("h", 64 - BLOCK_BITS).cast("int"))
     blocks = rows.groupBy("source", "block").agg(F.sum("tokens").alias("n"))
     up_to = F.sum("n").over(Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     blocks = blocks.select("source", "block", F.coalesce(up_to, F.lit(0)).alias("base"))
@@ -90,6 +93,18 @@ def _streams(counts: DataFrame) -> DataFrame:
     return rows.join(blocks, ["source", "block"]).select("doc_id", "source", "tokens", (F.col("base") + F.col("inner")).alias("before"))
 
 
+def _copies(uses: DataFrame) -> DataFrame:
+    """A row for each ``copy`` from 0 below ``n``. Rows of many copies become ranges of copies first, which are spread over the tasks."""
+    few = uses.filter(F.col("n") <= COPIES).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    many = uses.filter(F.col("n") > COPIES)
+    # about as many ranges as copies in a range where there are more than COPIES squared
+    step = F.greatest(F.lit(COPIES), F.ceil(F.sqrt("n"))).cast("long")
+    many = many.withColumn("step", step).withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.col("step"))))
+    parts = int(uses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = many.repartition(parts, "mix_id", "doc_id", "from").withColumn("copy", F.explode(F.sequence("from", F.least(F.col("from") + F.col("step"), F.col("n")) - 1)))
+    return few.unionByName(many.drop("step", "from"))
+
+
 def mix_sources(
     docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
     vocabulary: str | None = None, tilt: float = 1.0,
@@ -134,15 +149,15 @@ def mix_sources(
     plan = cut(plan, 1)
     use = plan.filter("usable").select("mix_id", "source", "tokens_once", "demand", "total", "wanted_share", "slope")
     stream = cut(_streams(counts).filter("tokens > 0"))
-    rounds = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("demand") / F.col("tokens_once")).cast("int") - 1))
-    uses = stream.join(use, "source").withColumn("copy", F.explode(rounds))
-    start = F.col("copy") * F.col("tokens_once") + F.col("before")
-    uses = uses.withColumn("start", start).filter(F.col("start") + F.col("tokens") / 2 <= F.col("demand"))
+    # copy c of a document begins at c * tokens_once + before, and is used if its middle lies within the demand
+    n = F.floor((F.col("demand") - F.col("before") - F.col("tokens") / 2) / F.col("tokens_once")) + 1
+    uses = stream.join(use, "source").withColumn("n", F.greatest(F.lit(0), n).cast("long")).filter("n > 0")
+    used = uses.groupBy("mix_id", "source").agg(F.sum(F.col("tokens") * F.col("n")).alias("tokens_used"), F.max("n").alias("most_copies"))
+    uses = _copies(uses).withColumn("start", F.col("copy") * F.col("tokens_once") + F.col("before"))
     # tokens demanded by t: total * ((wanted - slope / 2) t + slope t^2 / 2); solved for t
     a, b, c = F.col("slope") / 2, F.col("wanted_share") - F.col("slope") / 2, F.col("start") / F.col("total")
     t = F.when(c <= 0, F.lit(0.0)).otherwise(2 * c / (b + F.sqrt(F.greatest(F.lit(0.0), b * b + 4 * a * c))))
     positions = uses.select("mix_id", "doc_id", "source", (F.col("copy") + 1).alias("copy"), "tokens", F.round(t * F.col("total")).cast("long").alias("position"))
-    used = uses.groupBy("mix_id", "source").agg(F.sum("tokens").alias("tokens_used"), (F.max("copy") + 1).alias("most_copies"))
     shares = plan.join(used, ["mix_id", "source"], "left").fillna(0, ["tokens_used", "most_copies"])
     shares = shares.select(
         "mix_id", "source", "target_weight", "wanted_share", "max_repeats", "docs", "tokens_once",

@@ -205,7 +205,7 @@ def test_accuracies_are_learned_from_agreements():
 
 
 def test_statistics_of_a_known_text():
-    s = Q.statistics("The cat sat. 12 %\nOn the mat.", Q.WordTraits(frozenset({"the", "on"})))
+    s = Q.statistics("The cat sat. 12 %\nOn the mat.", Q.TokenTraits(frozenset({"the", "on"})))
     assert s["word_count"] == 8 and s["line_end_ratio"] == 0.5 and s["common_ratio"] == pytest.approx(3 / 6)
     assert math.isclose(s["mean_word_length"], 23 / 8) or s["mean_word_length"] > 2
 
@@ -222,7 +222,7 @@ def test_very_long_texts_take_little_time(text):
     from corpusmill.llm import splitting as P
 
     began = time.process_time()
-    Q.statistics(text, Q.WordTraits(frozenset({"a"})))
+    Q.statistics(text, Q.TokenTraits(frozenset({"a"})))
     lines = text.split("\n")
     S.line_features(lines, {})
     kinds = ["text" if x.strip() else "blank" for x in lines]
@@ -236,3 +236,22 @@ def test_very_long_texts_take_little_time(text):
     K.words_of(text)
     M.TokenCounter(f"{M.tokenizer_dir()}/{M.VOCABULARY}").count(text)
     assert time.process_time() - began < 20
+
+
+def test_a_tiny_source_is_repeated_thousands_of_times(spark):
+    docs = spark.createDataFrame([(1, "tiny", "word")] + [(i, "large", "some words of a larger source " * 40) for i in range(2, 42)], "doc_id long, source string, text string")
+    targets = spark.createDataFrame([(1, "tiny", 0.5, None), (1, "large", 0.5, 1)], "mix_id long, source string, target_weight double, max_repeats int")
+    shares, positions = M.mix_sources(docs, targets)
+    rows = {r.source: r for r in shares.collect()}
+    own = positions.filter("source = 'tiny'")
+    assert rows["tiny"].most_copies > 3 * M.COPIES and own.count() == own.select("copy").distinct().count() == rows["tiny"].most_copies
+    assert rows["tiny"].actual_share == pytest.approx(0.5, abs=0.001) and own.agg(F.max("copy")).first()[0] == rows["tiny"].most_copies
+
+
+def test_token_traits_are_forgotten_and_worked_out_again():
+    traits = Q.TokenTraits(frozenset({"the"}))
+    first = Q.statistics("The cat sat on the mat, 12 times.", traits)
+    traits.MOST = 1
+    assert Q.statistics("Other words here", traits)["common_ratio"] == 0 and len(traits.known) == 3
+    assert Q.statistics("The cat sat on the mat, 12 times.", traits) == first and first["common_ratio"] == 2 / 7
+    assert Q.longest_run(np.array([2, 2, 0, 2])) == 4 and Q.statistics("de ad be ef " * 8, traits)["blob_ratio"] > 0.5
