@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -72,10 +73,13 @@ def test_automaton_finds_what_brute_force_finds():
         items = [(i, " ".join(rng.choice("abc") for _ in range(rng.randrange(1, 25)))) for i in range(6)]
         docs = [(d, " ".join(rng.choice("abcd") for _ in range(60))) for d in range(4)]
         docs.append((9, "x " + items[0][1] + " y " + items[1][1]))
-        voc, sam, _ = L.build([(i, L.words_of(t)) for i, t in items], 5)
+        hashes, sam = L.WordHashes(), L.SuffixAutomaton()
+        for i, t in items:
+            sam.add(i, hashes.of(L.words_of(t)))
+        sam.finish(5)
         got = set()
         for d, t in docs:
-            w = [voc.get(L.fold(x), -1) for x in L.words_of(t)]
+            w = hashes.of(L.words_of(t))
             for item, runs in sam.spans(w, 5).items():
                 for a, b in runs:
                     part = [L.fold(x) for x in L.words_of(t)][a:b]
@@ -92,8 +96,30 @@ def test_leaks_whatever_case_marks_and_punctuation(spark):
     t = spark.createDataFrame([(7, item), (8, "za krótki tekst"), (9, None)], "item_id long, text string")
     spans = L.leaked_spans(d, t)
     assert {(r.doc_id, r.item_id) for r in spans.collect()} == {(1, 7), (2, 7)}
-    blocks = L.leaked_spans(d, t.union(spark.createDataFrame([(20, item)], "item_id long, text string")), block_chars=60)
+    blocks = L.leaked_spans(d, t.union(spark.createDataFrame([(20, item)], "item_id long, text string")), slice_words=20)
     assert {(r.doc_id, r.item_id) for r in blocks.collect()} == {(1, 7), (2, 7), (1, 20), (2, 20)}
     clean = {r.doc_id: r.text for r in L.without_spans(d, spans).collect()}
     assert "POLICZ" not in clean[1] and clean[1].startswith("Wstęp.") and clean[1].endswith("Koniec")
     assert L.leaked_spans(d.limit(0), t).count() == 0 and L.leaked_spans(d, t.limit(0)).count() == 0
+
+
+def test_items_in_slices_and_small_automata_lose_no_span(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(40)]
+    items = [(i, " ".join(rng.choices(words, k=rng.randrange(12, 40)))) for i in range(60)]
+    docs = []
+    for n in range(80):
+        own = rng.choice(items)[1].split()
+        a = rng.randrange(len(own) - 11)
+        docs.append((n, " ".join([*rng.choices(words, k=rng.randrange(30)), *own[a : a + rng.randrange(9, 16)], *rng.choices(words, k=9)])))
+    d, t = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = {tuple(r) for r in L.leaked_spans(d, t).collect()}
+    assert {r[:2] for r in whole} == brute(docs, items, 12)
+    assert {tuple(r) for r in L.leaked_spans(d, t, slice_words=300).collect()} == whole
+    ids, lists = zip(*[(i, L.WordHashes().of(x.split())) for i, x in items])
+    known = L.Items(np.array(ids), np.cumsum([0, *map(len, lists)]), np.array([w for x in lists for w in x], np.uint64), 12)
+    monkeypatch.setattr(L, "BLOCK_WORDS", 100)
+    blocks = list(known.automata(set(range(60))))
+    assert len(blocks) > 9 and frozenset().union(*(own for own, _ in blocks)) == set(range(60))
+    assert all(sum(len(lists[k]) for k in own) <= 100 for own, _ in blocks)
+    assert list(known.automata({3}))[0][0] == {3}
