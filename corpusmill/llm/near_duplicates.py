@@ -4,13 +4,15 @@ Each text is a sequence of lower-cased words. A sketch keeps, for each of ``sket
 ``picks`` smallest occurrence-labelled k-mers of words in the order in which they stand in the text: two texts agree
 in a sketch when the same k-mers are smallest *and* stand in the same order, so the sketch follows edit similarity
 rather than the bag of words. Texts that agree in a sketch and whose 256-bit one-permutation signatures are close are
-candidates; a banded alignment and the exact share of common three-word runs decide.
-
-Scale: one Python pass over the texts emits about 250 bytes a row; everything after moves only those bytes, and the
-texts of candidates. Equal texts collapse to one representative before any pair is formed. Buckets above
-``max_bucket`` members are compared in tiles, to which each text travels once and not with every pair. Where only
-the groups are wanted (``every_link=False``), such buckets don't form all pairs: all members are first compared with
-one leader, and only pairs with a member that isn't linked to the leader are compared further, so no component is lost.
+candidates. A banded alignment of their words verifies them: words left out of it touch a known number of three-word runs at most, so
+few edits prove that enough runs are common. Pairs that this doesn't prove (parts that changed places) are decided by the exact share.
+
+Scale: one Python pass over the texts emits about 400 bytes a row; everything after moves only those bytes, and the
+texts of candidates. Equal texts collapse to one representative before any pair is formed. Buckets of up to ``max_bucket`` texts form pairs
+of eight-byte keys, which are made distinct before signatures are compared. Larger ones are compared in tiles, to which each text
+travels once and not with every pair. Where only the groups are wanted (``every_link=False``), they don't form all pairs: all
+members are first compared with one leader, and only pairs with a member that isn't linked to the leader are compared further,
+so no component is lost. Joins on such buckets are spread over as many tasks as the bucket has tiles.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.grouping import bounded_broadcast
 from .common import WORD, cut, map_columns
 from .graph import components
 
@@ -28,7 +31,6 @@ _U = np.uint64
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
 SIGNATURE_BITS = 256
 SHINGLE = 3
-BROADCAST_ROWS = 200_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -94,19 +96,19 @@ class Sketcher:
             out = _mix(out * _U(_ODD[1]) + h[at[:, j]])
         return out.view(np.int64)
 
-    def signature(self, ids: np.ndarray) -> np.ndarray:
-        """One bit of the smallest hash in each of 256 bins, empty bins filled from the next that is not."""
+    def signature(self, ids: np.ndarray) -> tuple[np.ndarray, int]:
+        """(one bit of the smallest hash in each of 256 bins, empty bins filled from the next that is not; distinct three-word runs)."""
         h = _mix(_kmers(ids, min(SHINGLE, len(ids))))
         low = np.full(SIGNATURE_BITS, _U(0xFFFFFFFFFFFFFFFF))
         np.minimum.at(low, (h >> _U(56)).astype(np.int64), h)
         full = np.flatnonzero(low != _U(0xFFFFFFFFFFFFFFFF))
         take = full[np.searchsorted(full, np.arange(SIGNATURE_BITS)) % len(full)]
         bits = _mix(low[take] + np.arange(SIGNATURE_BITS, dtype=np.uint64) * _U(_ODD[2])) & _U(1)
-        return np.packbits(bits.astype(np.uint8)).view(np.int64)
+        return np.packbits(bits.astype(np.uint8)).view(np.int64), len(np.unique(h))
 
 
 def sketch_texts(df: DataFrame, id_col: str, text_col: str, min_words: int, k: int, picks: int, sketches: int) -> DataFrame:
-    """(id, key, its first eight bytes, sig, sketch) of each text of at least ``min_words`` words; null texts have none."""
+    """(id, key, its first eight bytes, distinct three-word runs, sig, sketch) of each text of at least ``min_words`` words; null texts have none."""
 
     def make():
         maker: list[Sketcher] = []
@@ -115,29 +117,31 @@ def sketch_texts(df: DataFrame, id_col: str, text_col: str, min_words: int, k: i
             if not maker:
                 maker.append(Sketcher(k, picks, sketches))
             s = maker[0]
-            ids, keys, sigs, rows = [], [], [], []
+            ids, keys, runs, sigs, rows = [], [], [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if text is None or i is None or len(words := WORD.findall(text.lower())) < min_words:
                     continue
                 w = s.ids(words)
                 ids.append(i)
                 keys.append(xxhash.xxh3_128_digest(" ".join(words)))
-                sigs.append(s.signature(w))
+                bits, n = s.signature(w)
+                runs.append(n)
+                sigs.append(bits)
                 rows.append(s.sketch(w))
             if not ids:
                 return None
             sig = np.array(sigs)
             flat = pa.array(np.concatenate(rows))
             offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * sketches)
-            cols = [pa.array(ids, pa.string()), pa.array(keys, pa.binary()), pa.array([int.from_bytes(k[:8], "big", signed=True) for k in keys], pa.int64())]
+            cols = [pa.array(ids, pa.string()), pa.array(keys, pa.binary()), pa.array([int.from_bytes(k[:8], "big", signed=True) for k in keys], pa.int64()), pa.array(runs, pa.int32())]
             cols += [pa.array(np.ascontiguousarray(sig[:, j])) for j in range(4)]
             cols.append(pa.ListArray.from_arrays(offsets, flat))
-            return pa.RecordBatch.from_arrays(cols, names=["id", "key", "k", "s0", "s1", "s2", "s3", "sketch"])
+            return pa.RecordBatch.from_arrays(cols, names=["id", "key", "k", "runs", "s0", "s1", "s2", "s3", "sketch"])
 
         return run
 
     rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    return map_columns(rows, make(), "id string, key binary, k long, s0 long, s1 long, s2 long, s3 long, sketch array<long>")
+    return map_columns(rows, make(), "id string, key binary, k long, runs int, s0 long, s1 long, s2 long, s3 long, sketch array<long>")
 
 
 def banded_lcs(a: np.ndarray, b: np.ndarray, band: int) -> int:
@@ -162,19 +166,42 @@ def banded_lcs(a: np.ndarray, b: np.ndarray, band: int) -> int:
     return len(a) - v.bit_count()
 
 
-def compare(a: list[str], b: list[str], shingle: int = SHINGLE, band: int = 64) -> tuple[float, float]:
-    """(share of common runs of ``shingle`` words, alignment similarity) of two word lists."""
-    sa = set(zip(*(a[i:] for i in range(shingle))))
-    sb = set(zip(*(b[i:] for i in range(shingle))))
+def proven_share(m: int, n: int, common: int, runs: int) -> float:
+    """Least share of common runs of three words that two texts of ``m`` and ``n`` words can have if ``common`` words of both stand in the
+    same order and the first has ``runs`` distinct runs.
+
+    A word left out of the alignment touches three runs of its own text and parts two runs of the other.
+    """
+    lost, gained = 3 * (m - common) + 2 * (n - common), 3 * (n - common) + 2 * (m - common)
+    return max(0, runs - lost) / (runs + gained) if runs else 0.0
+
+
+def compare(a: list[str], b: list[str], threshold: float = 0.6, band: int = 64) -> tuple[float, float | None]:
+    """(share of common runs of three words, alignment similarity) of two word lists. The share is the exact one, or, where the
+    alignment proves that it reaches the threshold, the share that it proves. Without a chance to prove it, nothing is aligned."""
+    shingles = lambda w: set(zip(*(w[i:] for i in range(SHINGLE))))
+    sa = shingles(a)
+    aligned = None
+    if proven_share(len(a), len(b), min(len(a), len(b)), len(sa)) >= threshold:
+        ids: dict[str, int] = {}
+        x = np.array([ids.setdefault(w, len(ids)) for w in a])
+        y = np.array([ids.setdefault(w, len(ids)) for w in b])
+        common = banded_lcs(x, y, band + abs(len(a) - len(b)))
+        aligned = 2 * common / (len(a) + len(b))
+        if (least := proven_share(len(a), len(b), common, len(sa))) >= threshold:
+            return least, aligned
+    sb = shingles(b)
     both = len(sa & sb)
     union = len(sa) + len(sb) - both
-    share = both / union if union else float(a == b)
-    ids: dict[str, int] = {}
-    x = np.array([ids.setdefault(w, len(ids)) for w in a])
-    y = np.array([ids.setdefault(w, len(ids)) for w in b])
-    reach = band + abs(len(a) - len(b))
-    total = len(a) + len(b)
-    return share, 2 * banded_lcs(x, y, reach) / total if total else 1.0
+    return (both / union if union else float(a == b)), aligned
+
+
+_LINK = "a binary, b binary, similarity double, alignment double"
+
+
+def _links(rows: list[tuple]) -> list[pa.Array]:
+    types = (pa.binary(), pa.binary(), pa.float64(), pa.float64())
+    return [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 4, types)]
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -183,18 +210,15 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
         for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            share, aligned = compare(WORD.findall(x.lower()), WORD.findall(y.lower()))
+            share, aligned = compare(WORD.findall(x.lower()), WORD.findall(y.lower()), threshold)
             if share >= threshold:
                 keep.append((a, b, share, aligned))
-        if not keep:
-            return None
-        a, b, s, e = zip(*keep)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(s), pa.array(e)], names=["a", "b", "similarity", "alignment"])
+        return pa.RecordBatch.from_arrays(_links(keep), names=["a", "b", "similarity", "alignment"])
 
     left = texts.select(F.col("key").alias("a"), F.col("text").alias("x"))
     right = texts.select(F.col("key").alias("b"), F.col("text").alias("y"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return map_columns(joined, run, "a binary, b binary, similarity double, alignment double")
+    return map_columns(joined, run, _LINK)
 
 
 def _verify_tiles(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -216,16 +240,14 @@ def _verify_tiles(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataF
                         held = sum(map(len, known.values()))
                     known[key] = WORD.findall(text[key].lower())
                     held += len(known[key])
-            share, aligned = compare(known[a], known[b])
+            share, aligned = compare(known[a], known[b], threshold)
             if share >= threshold:
                 keep.append((a, b, share, aligned))
-        cols = list(zip(*keep)) or [()] * 4
-        types = [pa.binary(), pa.binary(), pa.float64(), pa.float64()]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["a", "b", "similarity", "alignment"])
+        return pa.Table.from_arrays(_links(keep), names=["a", "b", "similarity", "alignment"])
 
     wanted = pairs.select(*tile, F.explode(F.array("a", "b")).alias("key")).distinct().join(texts, "key")
     wanted = wanted.select(*tile, "key", "text").toDF("bucket_", "i_", "j_", "key", "text")
-    return pairs.groupBy(*tile).cogroup(wanted.groupBy("bucket_", "i_", "j_")).applyInArrow(run, "a binary, b binary, similarity double, alignment double")
+    return pairs.groupBy(*tile).cogroup(wanted.groupBy("bucket_", "i_", "j_")).applyInArrow(run, _LINK)
 
 
 def near_duplicates(
@@ -237,7 +259,7 @@ def near_duplicates(
     k: int = 5,
     picks: int = 2,
     sketches: int = 40,
-    max_bucket: int = 256,
+    max_bucket: int = 64,
     every_link: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """``(members, links)``: members has one row per id, (id, key, group_id, n_links); links are (a, b, similarity, alignment)
@@ -251,45 +273,49 @@ def near_duplicates(
     """
     sketched = cut(sketch_texts(df, id_col, text_col, min_words, k, picks, sketches))
     members = sketched.select("id", "key").distinct()
-    reps = cut(sketched.groupBy("key").agg(F.min(F.struct("id", "k", "s0", "s1", "s2", "s3", "sketch")).alias("r")).select("key", "r.*"))
+    seen = ["k", "runs", "s0", "s1", "s2", "s3"]
+    reps = cut(sketched.groupBy("key").agg(F.min(F.struct("id", *seen, "sketch")).alias("r")).select("key", "r.*"))
     # eight bytes of the key travel with a bucket: where two keys share them, both are compared
     rows = reps.select(F.explode("sketch").alias("bucket"), "k")
 
     def close(x: str, y: str):
         differ = sum((F.bit_count(F.col(f"{x}.s{j}").bitwiseXOR(F.col(f"{y}.s{j}"))) for j in range(4)), F.lit(0))
-        # Unequal bits are expected at half of 1 - similarity; four and a half standard deviations are allowed for.
+        # Unequal bits are expected at half of 1 - similarity; four and a half standard deviations are allowed for. Texts of few
+        # runs fill few bins, and bins filled from others say nothing new: their spread is wider.
         share = (1 - threshold) / 2
-        most = SIGNATURE_BITS * share + 4.5 * (SIGNATURE_BITS * share * (1 - share)) ** 0.5
-        return differ <= int(most)
+        filled = 1 - F.exp(-F.least(f"{x}.runs", f"{y}.runs") / SIGNATURE_BITS)
+        return differ <= SIGNATURE_BITS * share + 4.5 * (SIGNATURE_BITS * share * (1 - share)) ** 0.5 / F.sqrt(filled)
 
     # most buckets hold one text: counting them first (partial sums in the map stage) leaves few rows to compare
     shared = cut(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
     rows = cut(rows.join(shared, "bucket"))
-    rows = cut(rows.join(reps.drop("sketch"), "k").drop("k"))
     has_big = bool(shared.filter(F.col("n") > max_bucket).take(1))
-    small = rows.filter(F.col("n") <= max_bucket) if has_big else rows
+    small = (rows.filter(F.col("n") <= max_bucket) if has_big else rows).select("bucket", "k")
+    sides = reps.drop("sketch", "id")
     pairs = (
-        small.alias("x")
-        .join(small.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.key") < F.col("y.key")) & close("x", "y"))
-        .select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
-        .distinct()
-    )
-    rep_ids = rows.select("key", "id").distinct()
+        small.toDF("bucket", "x").join(small.toDF("bucket", "y"), "bucket").filter("x < y").select("x", "y").distinct()
+        .join(sides.select(F.col("k").alias("x"), F.struct(*sides.columns).alias("p")), "x").join(sides.select(F.col("k").alias("y"), F.struct(*sides.columns).alias("q")), "y")
+        .filter(close("p", "q")).select(F.least("p.key", "q.key").alias("a"), F.greatest("p.key", "q.key").alias("b")).distinct()
+    )
     source = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
 
     def linked(pairs: DataFrame, verify=_verify) -> DataFrame:
         pairs = cut(pairs)
         wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-        texts = _texts(source, cut(rep_ids.join(wanted, "key", "left_semi")))
+        texts = _texts(source, cut(reps.select("key", "id").join(wanted, "key", "left_semi")))
         return cut(verify(pairs, texts, threshold))
 
     links = linked(pairs)
-    if has_big and every_link:
-        crowd = rows.filter(F.col("n") > max_bucket).withColumn("m", F.ceil(F.col("n") / max_bucket))
+    if has_big:
+        # a bucket of n texts has m parts; one side lies in one part each, the other is sent to all parts
+        crowd = cut(rows.filter(F.col("n") > max_bucket).withColumn("m", F.ceil(F.col("n") / max_bucket)).join(reps.drop("sketch", "id"), "k"))
         place = lambda key: F.pmod(F.xxhash64(key), F.col("m"))
-        x, y = crowd.withColumn("i", place("key")), crowd.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)))
+        everywhere = lambda df: df.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)))
+        placed = crowd.withColumn("i", place("key"))
+        met = lambda x, y: (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.i") == F.col("y.i")) & close("x", "y")
+    if has_big and every_link:
         close_pairs = (
-            x.alias("x").join(y.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.key") < F.col("y.key")) & close("x", "y"))
+            placed.alias("x").join(everywhere(crowd).alias("y"), met("x", "y") & (F.col("x.key") < F.col("y.key")))
             # a pair that shares several buckets is compared in one of them
             .groupBy(F.col("x.key").alias("a"), F.col("y.key").alias("b")).agg(F.min(F.struct("x.bucket", "x.m")).alias("t"))
             .join(links.select("a", "b"), ["a", "b"], "left_anti")
@@ -297,21 +323,13 @@ def near_duplicates(
         )
         links = cut(links.union(linked(close_pairs, _verify_tiles)))
     elif has_big:
-        crowd = rows.filter(F.col("n") > max_bucket)
-        crowd = crowd.join(crowd.groupBy("bucket").agg(F.min("key").alias("leader")), "bucket")
-        lead = crowd.filter(F.col("key") == F.col("leader")).select("bucket", *(f"s{j}" for j in range(4)), "key")
-        first = (
-            crowd.alias("x").join(lead.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.key") != F.col("y.key")) & close("x", "y"))
-            .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
-        )
-        star = linked(first)
+        lead = crowd.groupBy("bucket").agg(F.min(F.struct("key", "runs", "s0", "s1", "s2", "s3", "m")).alias("l")).select("bucket", "l.*")
+        pair = lambda df: df.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
+        star = linked(pair(placed.alias("x").join(everywhere(lead).alias("y"), met("x", "y") & (F.col("x.key") != F.col("y.key")))))
         ends = star.select("a", "b").union(star.select(F.col("b").alias("a"), F.col("a").alias("b"))).toDF("key", "leader")
-        alone = crowd.filter(F.col("key") != F.col("leader")).join(ends, ["key", "leader"], "left_anti")
-        more = (
-            alone.alias("x").join(crowd.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.key") != F.col("y.key")) & close("x", "y"))
-            .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
-        )
-        links = cut(links.union(star).union(linked(more)).dropDuplicates(["a", "b"]))
+        alone = crowd.join(bounded_broadcast(cut(lead.select("bucket", F.col("key").alias("leader")))), "bucket").filter("key != leader").join(ends, ["key", "leader"], "left_anti")
+        more = linked(pair(everywhere(alone).alias("x").join(placed.alias("y"), met("x", "y") & (F.col("x.key") != F.col("y.key")))))
+        links = cut(links.union(star).union(more).dropDuplicates(["a", "b"]))
     groups = components(links.select("a", "b"))
     members = members.join(groups.withColumnRenamed("node", "key"), "key", "left").select("id", "key", F.coalesce("component", "key").alias("group_id"))
     if not every_link:
@@ -333,9 +351,7 @@ def _texts(source: DataFrame, reps: DataFrame) -> DataFrame:
         a, b = zip(*keep)
         return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.string())], names=["key", "text"])
 
-    if reps.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # some 120 bytes a row; else both sides are shuffled
-        reps = F.broadcast(reps)
-    joined = source.join(reps, "id").select("key", "text")
+    joined = source.join(bounded_broadcast(reps), "id").select("key", "text")
     return cut(map_columns(joined, run, "key binary, text string").dropDuplicates(["key"]))
 
 

@@ -114,3 +114,34 @@ def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(70)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5, 5), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a int, b int")).collect()}
     assert got == {**{i: 0 for i in range(71)}, **{1000 + i: 1000 for i in range(50)}}
+
+
+def test_alignment_proves_no_more_than_the_exact_share():
+    rng = random.Random(4)
+    proven = 0
+    for _ in range(300):
+        a = [rng.choice("abcdefghijklmnop" * (1 + rng.randrange(3))) + str(rng.randrange(9)) for _ in range(rng.randrange(40, 120))]
+        b = list(a)
+        for _ in range(rng.randrange(12)):
+            at = rng.randrange(len(b))
+            b[at : at + rng.randrange(3)] = [f"new{rng.randrange(5)}"] * rng.randrange(3)
+        runs = lambda w: set(zip(w, w[1:], w[2:]))
+        exact = len(runs(a) & runs(b)) / len(runs(a) | runs(b))
+        share, aligned = N.compare(a, b, 0.6)
+        assert share <= exact + 1e-12 and (share >= 0.6) == (exact >= 0.6)
+        proven += aligned is not None and share < exact
+    assert proven > 30
+    half = [f"w{k}" for k in range(100)]
+    share, _ = N.compare(half, half[50:] + half[:50])  # parts that changed places: the exact share decides
+    assert share == 96 / 100
+
+
+def test_short_texts_are_compared_whatever_their_signatures(spark):
+    rng = random.Random(5)
+    rows = []
+    for k in range(150):
+        words = [f"{rng.choice('abcdefgh')}{rng.randrange(900)}" for _ in range(42)]
+        other = words[:20] + [f"x{k}"] + words[21:]
+        rows += [(f"a{k}", " ".join(words)), (f"b{k}", " ".join(other))]
+    members, links = N.near_duplicates(spark.createDataFrame(rows, "id string, text string"), sketches=48)
+    assert links.count() == 150 and brute_groups(rows, 0.6, 40) == {tuple(r) for r in N.group_pairs(members).collect()}
