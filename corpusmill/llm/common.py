@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import uuid
@@ -19,22 +20,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_made: list[tuple[SparkSession, str]] = []
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors share.
+    """A new folder below ``spark.checkpoint.dir``, which all executors share; ``release`` deletes it.
 
-    Where the session names none (tests, notebooks), one is set below the working directory's parent
-    temporary folder; on a cluster the setting must exist.
+    Where the session names none and runs in one process (tests, notebooks), one is set below the temporary folder; on a
+    cluster, ``local-cluster`` included, the setting must exist.
     """
     base = spark.sparkContext.getCheckpointDir()
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
-            if not spark.sparkContext.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
                 raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             base = "file:" + os.path.join(os.environ.get("TMPDIR", "/tmp"), "corpusmill-checkpoints")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir()
-    return f"{base}/{uuid.uuid4().hex}"
+    _made.append((spark, f"{base}/{uuid.uuid4().hex}"))
+    return _made[-1][1]
+
+
+def release(spark: SparkSession | None = None) -> int:
+    """Delete the scratch folders made so far (of one session), when no result that reads them is needed any more; how many there were.
+    Runs by itself when the driver's interpreter ends."""
+    own = [m for m in _made if spark is None or m[0] is spark]
+    for session, path in own:
+        _made.remove((session, path))
+        folder = session._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(session._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(own)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    try:
+        release()
+    except Exception:  # noqa: BLE001  the JVM may be gone already
+        _made.clear()
 
 
 def cut(df: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -4,7 +4,8 @@ Balanced targets: the least number of pieces that can hold the text gives equal-
 the strongest boundary near it that keeps every piece within the limit, and pieces are added while a cut would
 fall where no boundary is although the text has some. Consecutive pieces share exactly ``overlap`` words.
 
-Scale: one pass, no shuffle; texts within the limit are filtered out in the JVM before Python sees a row.
+Scale: one pass; texts within the limit are filtered out in the JVM before Python sees a row, and only the oversized ones are
+shuffled, to make rows delivered twice one.
 """
 
 from __future__ import annotations
@@ -94,13 +95,16 @@ def split_text(text: str, limit: int, overlap: int, allowed: frozenset[str]) ->
     marks = boundaries(text, spans, allowed)
     least = -(-(n - overlap) // (limit - overlap))
     best, fewest = None, None
-    for pieces in range(least, least + max(3, least // 2) + 1):
+    pieces, last = least - 1, least + max(3, least // 2)
+    while pieces < min(last, n):
+        pieces += 1
         cuts = _place(n, pieces, limit, overlap, marks)
         if cuts is None:
             continue
         bare = sum(kind == "word" for _, _, kind in cuts)
         if fewest is None or bare < fewest:
             best, fewest = cuts, bare
+            last = max(last, pieces + max(3, least // 2))  # more pieces help: go on
         if not bare or not marks:
             break
     return [(a, b, kind, text[spans[a][0] : spans[b - 1][1]]) for a, b, kind in best]
