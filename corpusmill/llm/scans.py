@@ -183,18 +183,23 @@ class LineModel:
         x, y = x[y >= 0], y[y >= 0]
         return BoostedTrees(rounds=120).fit(x, y) if len(y) and 0 < y.mean() < 1 else None
 
-    def kinds(self, lines: list[str], repeats: dict[int, tuple[int, int]]) -> list[str]:
-        """header, page, text or blank for each line. A line that comes again in its document needs less to be furniture. Where no line
-        of the sample told itself, its form alone says whether a line is a page number, and none is furniture."""
-        x, at, times = line_features(lines, repeats)
-        out = ["blank"] * len(lines)
-        if not at:
-            return out
-        head = self.head.predict(x) if self.head else np.zeros(len(at))
-        page = self.page.predict(x) if self.page else x[:, 14]
-        needed = np.select([np.array(times) < 2, np.array(times) == 2], [0.5, 0.25], 0.1)
-        for k, i in enumerate(at):
-            out[i] = "page" if page[k] > 0.5 else "header" if head[k] > needed[k] else "text"
+    def kinds(self, chunks: list[tuple[list[str], dict[int, tuple[int, int]]]]) -> list[list[str]]:
+        """header, page, text or blank for each line of each chunk. A line that comes again in its document needs less to be furniture.
+        Where no line of the sample told itself, its form alone says whether a line is a page number, and none is furniture."""
+        rows = [line_features(lines, repeats) for lines, repeats in chunks]
+        x = np.concatenate([np.zeros((0, N_FEATURES)), *(f for f, _, _ in rows)])
+        times = np.array([t for _, _, ts in rows for t in ts])
+        head = self.head.predict(x) if self.head and len(x) else np.zeros(len(x))
+        page = self.page.predict(x) if self.page and len(x) else x[:, 14]
+        needed = np.select([times < 2, times == 2], [0.5, 0.25], 0.1)
+        told = np.where(page > 0.5, "page", np.where(head > needed, "header", "text")).tolist()
+        out, k = [], 0
+        for (lines, _), (_, at, _) in zip(chunks, rows):
+            kinds = ["blank"] * len(lines)
+            for i in at:
+                kinds[i] = told[k]
+                k += 1
+            out.append(kinds)
         return out
 
 
@@ -273,16 +278,21 @@ class JoinModel:
         fixed = [bool(fix[0]), bool(fix[1] and "-" in fix[1])]
         return [(forms[k], [k, math.log1p(n[k]), math.log1p(n[1 - k]), n[k] >= n[1 - k], *parts, min(parts), len(a), len(b), *begins, fixed[k], fixed[1 - k]]) for k in (0, 1)]
 
-    def join(self, a: str, b: str, begins: tuple[bool, bool, bool], known: dict[str, tuple[int, str | None]]) -> tuple[str, str | None] | None:
-        """(the word as it stands, the correct word if that differs), or None where the lines don't share a word. Without clean words, a
-        word goes on where the next line begins with a small letter, without its hyphen."""
-        ways = self.options(a, b, begins, known)
-        p = self.trees.predict(np.array([row for _, row in ways])) if self.trees else [float((begins[0] or begins[1]) and b[:1].isalpha()), 0.0]
-        k = int(p[1] > p[0])
-        if p[k] < 0.5:
-            return None
-        n, fix = known.get(ways[k][0], (0, None))
-        return ways[k][0], (fix if fix and not n and (not k or "-" in fix) else None)
+    def join(self, breaks: list[tuple[str, str, tuple[bool, bool, bool], dict[str, tuple[int, str | None]]]]) -> list[tuple[str, str | None] | None]:
+        """For each (first part, second part, how that begins, what is known of forms): (the word as it stands, the correct word if that
+        differs), or None where the lines don't share a word. Without clean words, a word goes on where the next line begins with a
+        small letter, without its hyphen."""
+        ways = [self.options(*x) for x in breaks]
+        if self.trees and ways:
+            p = self.trees.predict(np.array([row for two in ways for _, row in two])).reshape(-1, 2)
+        else:
+            p = np.array([(float((begins[0] or begins[1]) and b[:1].isalpha()), 0.0) for _, b, begins, _ in breaks]).reshape(-1, 2)
+        out = []
+        for two, (plain, kept), (*_, known) in zip(ways, p, breaks):
+            k = int(kept > plain)
+            n, fix = known.get(two[k][0], (0, None))
+            out.append(None if max(plain, kept) < 0.5 else (two[k][0], fix if fix and not n and (not k or "-" in fix) else None))
+        return out
 
 
 def edit(bad: str, good: str) -> tuple[str, str, int] | None:
@@ -511,7 +521,8 @@ def candidates(forms: DataFrame, words: DataFrame) -> DataFrame:
     # bigrams that no word has are the rarest: they take their place and meet nothing
     rarest = left.groupBy("form").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.coalesce("postings", F.lit(0)).alias("postings"), "gram", "at"))), 1, RARE_GRAMS).alias("g"))
     left = rarest.select("form", F.explode("g").alias("g")).filter("g.postings > 0").select("form", "g.gram", "g.at")
-    near = left.join(right, ["gram", "at"]).filter((F.abs(F.length("form") - F.length("word")) <= 2) & (F.col("form") != F.col("word")))
+    # merged, not broadcast: what is exploded is many times larger than the file that its size is guessed from
+    near = left.hint("merge").join(right, ["gram", "at"]).filter((F.abs(F.length("form") - F.length("word")) <= 2) & (F.col("form") != F.col("word")))
     return near.select("form", "word", "n").distinct()
 
 
@@ -599,9 +610,8 @@ def repair(chunks: DataFrame, text_index: DataFrame, accept: float = 0.5) -> tup
 
     def read(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, texts, kinds, forms = [], [], [], []
-        for i, text, repeats in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), batch.column("repeats").to_pylist()):
-            lines = text.split("\n")
-            k = model.value.kinds(lines, _repeats(repeats))
+        chunks = [(text.split("\n"), _repeats(r)) for text, r in zip(batch.column("text").to_pylist(), batch.column("repeats").to_pylist())]
+        for i, text, (lines, _), k in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), chunks, model.value.kinds(chunks)):
             found: set[str] = set()
             parts = broken_words(lines, k)
             for n, line in enumerate(lines):
@@ -630,8 +640,8 @@ def repair(chunks: DataFrame, text_index: DataFrame, accept: float = 0.5) -> tup
     def write(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         texts = []
-        for i, text, kinds, forms in zip(*(batch.column(k).to_pylist() for k in range(4))):
-            found, fixed = repair_text(text, kinds, {f["form"]: (f["n"], f["word"]) for f in forms or ()}, joins.value)
+        rows = [(text, kinds, {f["form"]: (f["n"], f["word"]) for f in forms or ()}) for text, kinds, forms in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)))]
+        for found, fixed in repair_texts(rows, joins.value):
             out.append([{"line_no": n, "kind": k, "word": w} for n, k, w in found])
             texts.append(fixed)
         kind = pa.list_(pa.struct([("line_no", pa.int64()), ("kind", pa.string()), ("word", pa.string())]))
@@ -641,22 +651,28 @@ def repair(chunks: DataFrame, text_index: DataFrame, accept: float = 0.5) -> tup
     return done.select("id", F.explode("damage").alias("d")).select("id", "d.*").distinct(), done.select("id", "text").distinct()
 
 
-def repair_text(text: str, kinds: list[str], known: dict[str, tuple[int, str | None]], model: JoinModel) -> tuple[list[tuple[int, str, str]], str]:
-    """(damage, repaired text) of one text whose lines' kinds and forms are known."""
+def repair_texts(rows: list[tuple[str, list[str], dict[str, tuple[int, str | None]]]], model: JoinModel) -> list[tuple[list[tuple[int, str, str]], str]]:
+    """(damage, repaired text) of each (text, kinds of its lines, what is known of its forms)."""
+    breaks = [broken_words(text.split("\n"), kinds) for text, kinds, _ in rows]
+    words = iter(model.join([(a, b, begins, known) for own, (*_, known) in zip(breaks, rows) for _, _, a, b, begins in own]))
+    return [repair_text(*row, [(i, j, a, word) for i, j, a, _, _ in own if (word := next(words))]) for row, own in zip(rows, breaks)]
+
+
+def repair_text(text: str, kinds: list[str], known: dict[str, tuple[int, str | None]], joins: list[tuple[int, int, str, tuple[str, str | None]]]) -> tuple[list[tuple[int, str, str]], str]:
+    """(damage, repaired text) of one text; ``joins`` are (line, next line, first part, (word as it stands, correct word))."""
     lines = text.split("\n")
     found: list[tuple[int, str, str]] = [(n, k, "") for n, k in enumerate(kinds, 1) if k in ("header", "page")]
     marks = sum(_bare(c) != c for c in text.lower())
     has_marks = marks * 100 >= 3 * sum(c.isalpha() for c in text)
     first: dict[int, tuple[str, str | None]] = {}
     second = set()
-    for i, j, a, b, begins in broken_words(lines, kinds):
-        if word := model.join(a, b, begins, known):
-            first[i] = word
-            second.add(j)
-            stands, right = word
-            found.append((i + 1, "hyphen", right or stands))
-            if right and right != stands:
-                found.append((i + 1 if not right.startswith(a) else j + 1, "chars", right))
+    for i, j, a, word in joins:
+        first[i] = word
+        second.add(j)
+        stands, right = word
+        found.append((i + 1, "hyphen", right or stands))
+        if right and right != stands:
+            found.append((i + 1 if not right.startswith(a) else j + 1, "chars", right))
     repaired: list[list[str]] = [[]]
     carry = None
     for i, line in enumerate(lines):

@@ -16,17 +16,17 @@ MODEL = S.JoinModel(clean_words())
 def test_line_pairs_are_joined_by_what_is_known_of_both_ways():
     known = {"transporcie": (9, None), "polsko-angielski": (5, None), "dydaktyczno-": (3, None), "-techniczny": (4, None), "egzarninem": (0, "egzaminem")}
     small = (True, False, False)
-    assert MODEL.join("trans", "porcie", small, known) == ("transporcie", None)
-    assert MODEL.join("polsko", "angielski", small, known) == ("polsko-angielski", None)
-    assert MODEL.join("dydaktyczno", "techniczny", small, known) == ("dydaktyczno-techniczny", None)
-    assert MODEL.join("egzar", "ninem", small, known) == ("egzarninem", "egzaminem")
-    assert MODEL.join("nowe", "słowo", small, known) == ("nowesłowo", None)
-    assert MODEL.join("pod", "kowalski", (False, False, False), {}) is None  # a capital after a small letter
+    assert MODEL.join([("trans", "porcie", small, known)])[0] == ("transporcie", None)
+    assert MODEL.join([("polsko", "angielski", small, known)])[0] == ("polsko-angielski", None)
+    assert MODEL.join([("dydaktyczno", "techniczny", small, known)])[0] == ("dydaktyczno-techniczny", None)
+    assert MODEL.join([("egzar", "ninem", small, known)])[0] == ("egzarninem", "egzaminem")
+    assert MODEL.join([("nowe", "słowo", small, known)])[0] == ("nowesłowo", None)
+    assert MODEL.join([("pod", "kowalski", (False, False, False), {})])[0] is None  # a capital after a small letter
 
 
 def test_without_clean_words_small_letters_go_on():
     model = S.JoinModel({})
-    assert model.trees is None and model.join("no", "we", (True, False, False), {}) == ("nowe", None) and model.join("no", "we", (False, False, True), {}) is None
+    assert model.trees is None and model.join([("no", "we", (True, False, False), {})])[0] == ("nowe", None) and model.join([("no", "we", (False, False, True), {})])[0] is None
 
 
 @pytest.mark.parametrize(
@@ -37,6 +37,6 @@ def test_without_clean_words_small_letters_go_on():
     ],
 )
 def test_breaks_before_a_misread_character(first, known, word, chars):
-    found, fixed = S.repair_text(f"to jest pod-\n{first}, i tak dalej", ["text", "text"], known, MODEL)
+    found, fixed = S.repair_texts([(f"to jest pod-\n{first}, i tak dalej", ["text", "text"], known)], MODEL)[0]
     assert found == [(1, "hyphen", word)] * bool(word) + [(2, "chars", word)] * chars
     assert fixed == (f"to jest {word}, i tak dalej" if word else f"to jest pod- {first}, i tak dalej")

@@ -124,7 +124,7 @@ def test_scans_without_rows(spark):
 
 def test_hyphens_over_furniture(spark):
     text = "To jest zwykły tekst o sprawach, które kończy hyph-\n[3]\nenacja i dalej.\nKoniec."
-    found, fixed = S.repair_text(text, ["text", "page", "text", "text"], {"hyphenacja": (4, None)}, S.JoinModel({}))
+    found, fixed = S.repair_texts([(text, ["text", "page", "text", "text"], {"hyphenacja": (4, None)})], S.JoinModel({}))[0]
     assert found == [(1, "hyphen", "hyphenacja"), (2, "page", "")]
     assert "hyphenacja i dalej" in fixed and "[3]" not in fixed
 
@@ -226,7 +226,7 @@ def test_very_long_texts_take_little_time(text):
     lines = text.split("\n")
     S.line_features(lines, {})
     kinds = ["text" if x.strip() else "blank" for x in lines]
-    S.repair_text(text, kinds, {}, S.JoinModel({}))
+    S.repair_texts([(text, kinds, {})], S.JoinModel({}))
     for x in lines:
         S.tokens(x)
     model = L.LanguageModels(["a", "b"], [L.KneserNey(L.Counter({"aba": 2})), L.KneserNey(L.Counter({"cdc": 2}))], np.array([9.0, 9.0]), 1.0)
