@@ -101,6 +101,15 @@ def natural_order(c: Column) -> list[Column]:
     return [F.regexp_replace(c, r"\d+", "#"), F.transform(F.regexp_extract_all(c, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.cast("decimal(38,0)")), c]
 
 
+def select_queue(df: DataFrame, sources: DataFrame | None = None, extensions: list[str] | None = None, done: DataFrame | None = None, key: str = "effective_url") -> DataFrame:
+    """Queue rows of given sources and extensions whose key isn't done yet; what isn't given doesn't select."""
+    if sources is not None:
+        df = df.join(sources.select("source_id").distinct(), "source_id", "left_semi")
+    if extensions is not None:
+        df = df.filter(F.lower("extension").isin(*[e.lower() for e in extensions]))
+    return df if done is None else df.join(done.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti")
+
+
 def highest_rank(df: DataFrame, keys: list[str], value: str, ranks: dict[str, int], position: str) -> DataFrame:
     """The row of each group whose value ranks highest, the first of equals."""
     rank = F.coalesce(*[F.when(F.col(value) == v, r) for v, r in ranks.items()], F.lit(0))

@@ -86,6 +86,18 @@ def missing_fields(lines: DataFrame, value: str, required: list[str], id_cols: l
     return lines.select(*id_cols, lost.alias("missing")).filter(F.size("missing") > 0)
 
 
+def wrong_types(lines: DataFrame, value: str, types: dict[str, str], id_cols: list[str]) -> DataFrame:
+    """(ids, field) of JSON objects in which a field has another JSON type than its one in ``types`` (ARRAY, OBJECT, STRING, BIGINT, ...). Fields
+    that are absent, null, false, 0 or empty count as right."""
+    v = F.try_parse_json(value)
+    out = []
+    for name, kind in types.items():
+        one = F.try_variant_get(v, f"$.{name}", "variant")
+        empty = F.coalesce(F.to_json(one), F.lit("null")).isin("null", "false", "0", '""', "[]", "{}")
+        out.append(F.when(~empty & ~F.startswith(F.schema_of_variant(one), F.lit(kind)), F.lit(name)))
+    return lines.select(*id_cols, F.explode(F.filter(F.array(*out), lambda x: x.isNotNull())).alias("field"))
+
+
 def require(issues: DataFrame) -> None:
     """Raise if there is an issue of severity error: the gate at the end of a run."""
     bad = issues.filter("severity = 'error'").groupBy("issue_type").count().orderBy("issue_type").limit(100).collect()

@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import change_queries, group_queries, quality_queries, segment_queries, text_queries, url_queries  # noqa: F401
+    from . import change_queries, extraction_queries, group_queries, quality_queries, segment_queries, text_queries, url_queries  # noqa: F401
 
     return dict(QUERIES)
 

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ..operators import changes as C
 from ..operators import joins as J
-from ..operators.grouping import first_match
 from ..streaming import feeds
 from .catalog import query, table
 
@@ -63,31 +62,26 @@ def late_changes(spark, d):
     return rows.groupBy(F.date_trunc("day", "received_at").cast("timestamp_ntz").alias("day")).agg(F.count("*").alias("n"), F.count_if(late).alias("late"))
 
 
-@query("download_outcomes", """
-    WITH t AS (SELECT DISTINCT attachment_id, content_sha256, text_sha256, run_id, char_count FROM text_index)
-    SELECT attachment_id, CASE WHEN char_count % 7 = 0 THEN 'not_modified' WHEN char_count % 7 = 1 THEN 'failed' WHEN content_sha256 IS NULL THEN 'failed' WHEN char_count % 7 = 2 THEN 'new' WHEN char_count % 7 = 3 THEN 'changed' ELSE 'downloaded_unchanged' END AS outcome FROM t WHERE char_count IS NOT NULL""")
-def download_outcomes(spark, d):
-    rows = table(spark, d, "text_index").select("attachment_id", "content_sha256", "text_sha256", "run_id", "char_count").distinct().filter("char_count is not null")
-    k = F.col("char_count") % 7
-    status = F.when(k == 0, 304).when(k == 1, 500).otherwise(200)
-    known = F.when(k == 2, F.lit(None)).when(k == 3, F.lit("other")).otherwise(F.col("content_sha256"))
-    return rows.select("attachment_id", C.download_outcome(status, F.col("content_sha256"), known, F.lit(True)).alias("outcome"))
+_SIDES = {
+    "queue": "SELECT DISTINCT document_id FROM chunks WHERE document_kind = 'attachment'", "index_": "SELECT DISTINCT 'attachment:' || content_sha256 AS document_id FROM text_index WHERE content_sha256 IS NOT NULL",
+    "state": "SELECT DISTINCT document_id FROM corpus_state WHERE kind = 'attachment'", "changed": "SELECT DISTINCT document_id FROM corpus_changes WHERE kind = 'attachment'",
+}
+_PAIRS = [
+    ("queue", "index_", "missing_index_record"), ("queue", "state", "missing_state_record"), ("index_", "queue", "orphan_index_record"), ("state", "queue", "orphan_state_record"),
+    ("changed", "state", "change_without_state"), ("state", "changed", "state_without_change"),
+]
 
 
-@query("reconciliation", """
-    SELECT 'missing_state_record' AS issue_type, document_id FROM (SELECT DISTINCT document_id FROM chunks WHERE document_id NOT IN (SELECT document_id FROM corpus_state WHERE content_sha256[1] <> '0'))
-    UNION ALL SELECT 'orphan_state_record', document_id FROM (SELECT DISTINCT document_id FROM corpus_state WHERE content_sha256[1] <> '0' AND document_id NOT IN (SELECT document_id FROM chunks WHERE chunk_index > 0))""")
+@query("reconciliation", " UNION ALL ".join(f"SELECT '{issue}' AS issue_type, document_id FROM ({_SIDES[a]} EXCEPT {_SIDES[b]})" for a, b, issue in _PAIRS))
 def reconciliation(spark, d):
-    chunks, state = table(spark, d, "chunks"), table(spark, d, "corpus_state").filter(F.substring("content_sha256", 1, 1) != "0")
-    return J.reconcile({"chunks": chunks, "later": chunks.filter("chunk_index > 0"), "state": state}, "document_id", [("chunks", "state", "missing_state_record"), ("state", "later", "orphan_state_record")])
+    """Attachments in the chunks, the index, the state and the change log, each held against the others."""
+    return J.reconcile(_sides(spark, d), "document_id", _PAIRS)
 
 
-@query("review_decisions", """
-    SELECT DISTINCT attachment_id, CASE extraction_status WHEN 'excluded_from_rag' THEN 'resolved_excluded' WHEN 'manual_review' THEN 'retained' WHEN 'ok' THEN 'queued' WHEN 'ok_ocr' THEN 'queued' ELSE 'unsupported' END AS outcome FROM text_index""")
-def review_decisions(spark, d):
-    s = F.col("extraction_status")
-    outcome = first_match((s == "excluded_from_rag", "resolved_excluded"), (s == "manual_review", "retained"), (s.isin("ok", "ok_ocr"), "queued"), otherwise="unsupported")
-    return table(spark, d, "text_index").select("attachment_id", outcome.alias("outcome")).distinct()
+def _sides(spark, d):
+    index = table(spark, d, "text_index").filter("content_sha256 is not null").select(F.concat(F.lit("attachment:"), "content_sha256").alias("document_id"))
+    own = {name: table(spark, d, t).filter("kind = 'attachment'" if t != "chunks" else "document_kind = 'attachment'").select("document_id") for name, t in (("queue", "chunks"), ("state", "corpus_state"), ("changed", "corpus_changes"))}
+    return own | {"index_": index}
 
 
 @query("stream_windows", "SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end, event_type, count(*) AS n FROM events GROUP BY 1, 2, 3")
@@ -96,10 +90,8 @@ def stream_windows(spark, d):
     source = table(spark, d, "events")
     stream = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").parquet(d)
     counted = feeds.windowed_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type", "1 day")
-    name = "windows_of_events"
-    q = counted.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name).select(F.col("window_start").cast("timestamp_ntz"), F.col("window_end").cast("timestamp_ntz"), "event_type", "n")
+    rows = feeds.run_to_files(counted, f"{feeds.scratch(spark)}/windows", "complete")
+    return rows.select(F.col("window_start").cast("timestamp_ntz"), F.col("window_end").cast("timestamp_ntz"), "event_type", "n")
 
 
 @query("stream_distinct_changes", "SELECT action, reason, count(*) AS n FROM (SELECT DISTINCT document_id, generated_at, action, reason FROM corpus_changes) GROUP BY 1, 2")
@@ -108,7 +100,5 @@ def stream_distinct_changes(spark, d):
     source = table(spark, d, "corpus_changes")
     stream = spark.readStream.schema(source.schema).option("pathGlobFilter", "*.parquet").parquet(f"{d}/corpus_changes.parquet*")
     rows = feeds.distinct_changes(stream.withColumn("received_at", F.col("received_at").cast("timestamp")), "3650 days")
-    name = "distinct_changes_of_stream"
-    run = rows.select("document_id", "action", "reason").writeStream.outputMode("append").format("memory").queryName(name).trigger(availableNow=True).start()
-    run.awaitTermination()
-    return spark.table(name).groupBy("action", "reason").agg(F.count("*").alias("n"))
+    found = feeds.run_to_files(rows.select("document_id", "action", "reason"), f"{feeds.scratch(spark)}/changes", "append")
+    return found.groupBy("action", "reason").agg(F.count("*").alias("n"))

@@ -132,14 +132,10 @@ def work_queue(spark, d):
     return rows.orderBy(done, F.coalesce("char_count", F.lit(0)), "effective_url", "attachment_id").limit(25).select("attachment_id", F.coalesce("char_count", F.lit(0)).alias("size"))
 
 
-@query("natural_order", "SELECT filename, CAST(row_number() OVER (ORDER BY CAST(regexp_extract(filename, '(\\d+)', 1) AS BIGINT), filename) AS VARCHAR) AS k FROM (SELECT DISTINCT filename FROM text_index WHERE regexp_matches(filename, '^\\d+\\.pdf$'))")
+@query("natural_order", r"""
+    WITH n AS (SELECT DISTINCT filename FROM text_index WHERE filename IS NOT NULL)
+    SELECT filename, CAST(row_number() OVER (ORDER BY regexp_replace(filename, '\d+', '#', 'g'), list_transform(regexp_extract_all(filename, '\d+'), lambda x: CAST(x AS HUGEINT)), filename) AS VARCHAR) AS k FROM n""")
 def natural_order(spark, d):
-    """The names of figures only, as its SQL has them; natural_order_all has every name."""
-    return numbered_names(table(spark, d, "text_index").filter(F.col("filename").rlike(r"^\d+\.pdf$")))
-
-
-@query("natural_order_all")
-def natural_order_all(spark, d):
     """Every file name, whatever letters and figures it has."""
     return numbered_names(table(spark, d, "text_index").filter("filename is not null"))
 

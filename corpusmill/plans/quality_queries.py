@@ -97,10 +97,3 @@ def scan_counts(spark, d):
     counted = table(spark, d, "text_index").groupBy("run_id").agg(F.count_distinct(F.when(F.col("extraction_status") == "ok_ocr", F.col("queue_id"))).alias("counted"))
     status = table(spark, d, "attachment_ocr_status").select("run_id", F.col("result_counts.ok_ocr").alias("stated")).distinct()
     return status.join(counted, "run_id", "left").select("run_id", "stated", F.coalesce("counted", F.lit(0)).alias("counted"))
-
-
-@query("complete_run", """
-    SELECT count(*) AS queue_rows, count(*) FILTER (WHERE content_sha256 IS NULL) = 0 AND count(*) FILTER (WHERE effective_url IS NULL) = 0 AND count(*) FILTER (WHERE extraction_status IS NULL) = 0 AS complete FROM text_index""")
-def complete_run(spark, d):
-    none = lambda c: F.count_if(F.col(c).isNull()) == 0
-    return table(spark, d, "text_index").agg(F.count("*").alias("queue_rows"), (none("content_sha256") & none("effective_url") & none("extraction_status")).alias("complete"))

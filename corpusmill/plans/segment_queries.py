@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import segments as S
+from ..operators.grouping import delivered_once
 from .catalog import query, table
 from .text_queries import LIST_SQL, heading_sql, held, language_sql, normal
 
@@ -147,22 +148,11 @@ def packed_sentences(rows):
 
 
 @query("sentence_packing", r"""
-    WITH RECURSIVE h AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL AND length(text) < 1200),
-    p AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?…])\s+([A-ZĄĆĘŁŃÓŚŹŻ0-9„"(§])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda s: len(regexp_extract_all(s, '[^\s\x{a0}]+'))), lambda n: n > 0) AS n FROM h),
-    g(doc_id, n, i, seg, size) AS (SELECT doc_id, n, 1, 1, n[1] FROM p WHERE len(n) > 0
-      UNION ALL SELECT doc_id, n, i + 1, CASE WHEN size + n[i + 1] > 60 THEN seg + 1 ELSE seg END, CASE WHEN size + n[i + 1] > 60 THEN n[i + 1] ELSE size + n[i + 1] END FROM g WHERE i < len(n))
-    SELECT doc_id, CAST(max(seg) AS BIGINT) AS segments FROM g GROUP BY doc_id""")
-def sentence_packing(spark, d):
-    """The short documents only, as its SQL has them; sentence_packing_all has every document."""
-    return packed_sentences(table(spark, d, "documents").filter("text is not null and length(text) < 1200").select("doc_id", "text").distinct())
-
-
-@query("sentence_packing_all", r"""
     WITH RECURSIVE h AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
     p AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?…])\s+([A-ZĄĆĘŁŃÓŚŹŻ0-9„"(§])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda s: len(regexp_extract_all(s, '[^\s\x{a0}]+'))), lambda n: n > 0) AS n FROM h),
     g(doc_id, n, i, seg, size) AS (SELECT doc_id, n, 1, 1, n[1] FROM p WHERE len(n) > 0
       UNION ALL SELECT doc_id, n, i + 1, CASE WHEN size + n[i + 1] > 60 THEN seg + 1 ELSE seg END, CASE WHEN size + n[i + 1] > 60 THEN n[i + 1] ELSE size + n[i + 1] END FROM g WHERE i < len(n))
     SELECT doc_id, CAST(max(seg) AS BIGINT) AS segments FROM g GROUP BY doc_id""")
-def sentence_packing_all(spark, d):
+def sentence_packing(spark, d):
     """Every document with a text, whatever its length."""
-    return packed_sentences(table(spark, d, "documents").filter("text is not null").select("doc_id", "text").distinct())
+    return packed_sentences(delivered_once(table(spark, d, "documents").select("doc_id", "text").filter("text is not null"), "doc_id"))

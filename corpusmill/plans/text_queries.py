@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators.grouping import delivered_once
 from .catalog import query, table
 
 _NORMAL = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({c}, '\r\n|\r', chr(10), 'g'), '[ \t]+', ' ', 'g'),
@@ -51,15 +52,12 @@ def word_counts(spark, d):
     return rows.select("doc_id", "words", F.length("text").alias("chars"))
 
 
-@query("token_counts", r"SELECT doc_id, len(regexp_extract_all(text, '[''-]*[\p{L}\p{Nd}\p{Nl}\p{M}\p{Pc}×÷][\p{L}\p{Nd}\p{Nl}\p{M}\p{Pc}×÷''-]*')) AS tokens FROM documents WHERE NOT regexp_matches(text, '[^\x00-\x{2fff}]') AND text IS NOT NULL")
-def token_counts(spark, d):
-    """Documents without characters above U+2FFF, as its SQL has them; token_counts_all has every document."""
-    rows = table(spark, d, "documents").filter("text is not null").filter(~F.col("text").rlike(r"[^\x00-\x{2fff}]"))
-    return rows.select("doc_id", T.token_count(F.col("text")).alias("tokens"))
+# what the engine's word characters have beyond letters, figures and marks: circled and squared letters, joiners
+_MORE = r"\x{200c}\x{200d}\x{24b6}-\x{24e9}\x{1f130}-\x{1f149}\x{1f150}-\x{1f169}\x{1f170}-\x{1f189}"
 
 
-@query("token_counts_all")
-def token_counts_all(spark, d):
+@query("token_counts", rf"SELECT doc_id, len(regexp_extract_all(text, '[''-]*[\p{{L}}\p{{Nd}}\p{{Nl}}\p{{M}}\p{{Pc}}×÷{_MORE}][\p{{L}}\p{{Nd}}\p{{Nl}}\p{{M}}\p{{Pc}}×÷{_MORE}''-]*')) AS tokens FROM documents WHERE text IS NOT NULL")
+def token_counts(spark, d):
     return table(spark, d, "documents").filter("text is not null").select("doc_id", T.token_count(F.col("text")).alias("tokens"))
 
 
@@ -83,7 +81,7 @@ def unit_keys(spark, d):
     SELECT id, md5(string_agg(x, chr(10) || chr(10) ORDER BY p)) AS h FROM f GROUP BY id""")
 def merged_blocks(spark, d):
     """Title and text twice: every block stays once."""
-    rows = table(spark, d, "chunks").filter("text is not null").select("id", "title", "text").distinct()
+    rows = delivered_once(table(spark, d, "chunks").filter("text is not null and id is not null").select("id", "title", "text"), "id")
     return rows.select("id", F.md5(T.merge_blocks(F.col("title"), F.col("text"), F.col("text"))).alias("h"))
 
 
@@ -172,7 +170,7 @@ def repetition(spark, d):
            length(regexp_replace(seen, '\P{L}', '', 'g')) AS letters, length(seen) AS visible FROM w""")
 def scan_quality(spark, d):
     """What the gate on scanned text counts: single-character words and letters."""
-    rows = table(spark, d, "chunks").filter("text is not null").select("id", "text").distinct()
+    rows = delivered_once(table(spark, d, "chunks").filter("text is not null and id is not null").select("id", "text"), "id")
     words = F.regexp_extract_all("text", F.lit(r"(?U)(\S+)"), F.lit(1))
     seen = F.regexp_replace("text", r"(?U)\s", "")
     return rows.select(
@@ -181,8 +179,13 @@ def scan_quality(spark, d):
     )
 
 
-@query("low_quality_scans", None)
+@query("low_quality_scans", r"""
+    WITH c AS (SELECT DISTINCT id, text FROM chunks WHERE text IS NOT NULL AND id IS NOT NULL),
+    w AS (SELECT id, regexp_extract_all(text, '[^\s\x{a0}]+') AS w, regexp_replace(text, '[\s\x{a0}]', '', 'g') AS seen FROM c),
+    s AS (SELECT id, coalesce(CAST(len(list_filter(w, lambda x: length(regexp_replace(x, '[^\p{L}\p{Nd}\p{Nl}\p{M}\p{Pc}\x{c0}-\x{17e}]', '', 'g')) = 1)) AS DOUBLE) / nullif(len(w), 0), 0) AS single_share,
+                 coalesce(CAST(length(regexp_replace(seen, '\P{L}', '', 'g')) AS DOUBLE) / nullif(length(seen), 0), 0) AS alphabetic_share FROM w)
+    SELECT id, round(single_share, 6) AS single_share, round(alphabetic_share, 6) AS alphabetic_share FROM s WHERE single_share > 0.25 OR alphabetic_share < 0.6""")
 def low_quality_scans(spark, d):
-    rows = table(spark, d, "chunks").filter("text is not null").select("id", "text").distinct()
+    rows = delivered_once(table(spark, d, "chunks").filter("text is not null and id is not null").select("id", "text"), "id")
     rows = rows.select("id", T.single_character_share(F.col("text")).alias("single_share"), T.alphabetic_share(F.col("text")).alias("alphabetic_share"))
-    return rows.filter("single_share > 0.25 or alphabetic_share < 0.6")
+    return rows.filter("single_share > 0.25 or alphabetic_share < 0.6").select("id", F.round("single_share", 6).alias("single_share"), F.round("alphabetic_share", 6).alias("alphabetic_share"))

@@ -91,18 +91,25 @@ def file_sizes(spark, d):
     return table(spark, d, "text_index").select("queue_id", U.total_size(ranged, F.lit("17"), status).alias("size")).distinct()
 
 
-_HTML = """'<html><head><title>t</title><style>p{}</style></head><body><h1>' || coalesce(title, '') || '</h1><p>a &amp; b</p><script>x()</script><h2>' || coalesce(source_id, '') || '</h2><a href="' || url || '">first</a> <a href="/dok/x.pdf?utm_source=q">second</a><a href="#no">no</a><a href="mailto:a@b">no</a><br>end</body></html>'"""
+def _escaped(c: str) -> str:
+    return f"replace(replace(replace(coalesce({c}, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+_HTML = f"""'<html><head><title>t</title><style>p{{}}</style></head><body><h1>' || {_escaped('title')} || '</h1><p>a &amp; b</p><script>x()</script><h2>' || {_escaped('source_id')} || '</h2><a href="' || url || '">first</a> <a href="/dok/x.pdf?utm_source=q">second</a><a href="#no">no</a><a href="mailto:a@b">no</a><br>end</body></html>'"""
 
 
 def _pages(spark, d):
-    return table(spark, d, "chunks").filter("url is not null").select(F.col("id"), "url", F.expr(_HTML).alias("html"), "title", "source_id").distinct()
+    return table(spark, d, "chunks").filter("url is not null").select(F.col("id"), "url", F.expr(_HTML).alias("html")).distinct()
+
 
+_SPACED = r"trim(regexp_replace(coalesce({}, ''), '\s+', ' ', 'g'))".format
 
-@query("page_headings", """
-    SELECT DISTINCT id, trim(regexp_replace(title, '\\s+', ' ', 'g')) || '|' || source_id AS headings FROM chunks WHERE url IS NOT NULL AND title IS NOT NULL AND source_id IS NOT NULL AND trim(title) <> '' AND trim(title) <> source_id AND NOT regexp_matches(title, '[<>&]')""")
+
+@query("page_headings", f"""
+    WITH h AS (SELECT DISTINCT id, {_SPACED('title')} AS t, {_SPACED('source_id')} AS s FROM chunks WHERE url IS NOT NULL)
+    SELECT DISTINCT id, CASE WHEN t = s OR s = '' THEN t WHEN t = '' THEN s ELSE t || '|' || s END AS headings FROM h""")
 def page_headings(spark, d):
-    rows = _pages(spark, d).filter("title is not null and source_id is not null and trim(title) != '' and trim(title) != source_id").filter(~F.col("title").rlike("[<>&]"))
-    return H.parse_pages(rows, "id", "html", "url").select("id", F.array_join("headings", "|").alias("headings"))
+    return H.parse_pages(_pages(spark, d), "id", "html", "url").select("id", F.array_join("headings", "|").alias("headings"))
 
 
 @query("page_links", rf"""
@@ -113,6 +120,11 @@ def page_links(spark, d):
     return H.page_links(H.parse_pages(_pages(spark, d), "id", "html", "url"), ["uczelnia.example"])
 
 
-@query("page_texts", None)
+_OWN_LINE = r"CASE WHEN trim({0}) <> '' THEN chr(10) || trim(regexp_replace({0}, ' *\n *', chr(10), 'g')) ELSE '' END".format
+
+
+@query("page_texts", f"""
+    SELECT DISTINCT id, 't' || {_OWN_LINE("coalesce(title, '')")} || chr(10) || 'a & b' || {_OWN_LINE("coalesce(source_id, '')")} || chr(10) || 'first' || chr(10) || chr(10) || 'second' || chr(10) || 'no' || chr(10) || 'no' || chr(10) || chr(10) || 'end' AS text
+    FROM chunks WHERE url IS NOT NULL""")
 def page_texts(spark, d):
     return H.parse_pages(_pages(spark, d), "id", "html", "url").select("id", "text")

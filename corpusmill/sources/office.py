@@ -148,6 +148,64 @@ def xlsx(data: bytes) -> list[Section]:
     return out
 
 
+def pdf(pages: Callable[[bytes], list[str | Exception]] | None = None, least_chars: int = 20) -> Callable[[bytes], list[Section]]:
+    """A reader of PDF files for ``read_documents``, a section a page. ``pages`` gives the text of each page, or the error that it met, which
+    costs that page only; without it, the pypdf package is used where it is installed. A file of fewer than ``least_chars``
+    characters has no text of its own: it needs recognition, and is reported as failed with that reason."""
+
+    def installed(data: bytes) -> list[str | Exception]:
+        import pypdf  # not part of the engine
+
+        doc = pypdf.PdfReader(io.BytesIO(data))
+        if doc.is_encrypted:
+            doc.decrypt("")
+        out: list[str | Exception] = []
+        for page in doc.pages:
+            try:
+                out.append(page.extract_text() or "")
+            except Exception as e:  # noqa: BLE001  one page fails alone
+                out.append(e)
+        return out
+
+    def read(data: bytes) -> list[Section]:
+        found = (pages or installed)(data)
+        texts = [("page", f"Strona {n}", t.strip()) for n, t in enumerate(found, 1) if isinstance(t, str) and t.strip()]
+        if sum(len(t) for _, _, t in texts) < least_chars:
+            failed = sum(isinstance(t, Exception) for t in found)
+            raise ValueError(f"needs_ocr: {len(found)} pages, {failed} unreadable")
+        return texts
+
+    return read
+
+
+def recognized(images: Callable[[bytes], list[bytes]], recognize: Callable[[bytes], str], least_chars: int = 20) -> Callable[[bytes], list[Section]]:
+    """A reader of scanned files: ``images`` gives a picture of each page in order, ``recognize`` its text; both are programs outside the
+    engine. A file of fewer than ``least_chars`` characters fails as ocr_failed."""
+
+    def read(data: bytes) -> list[Section]:
+        texts = [("page", f"Strona {n}", recognize(image).strip()) for n, image in enumerate(images(data), 1)]
+        if sum(len(t) for _, _, t in texts) < least_chars:
+            raise ValueError(f"ocr_failed: {len(texts)} pages")
+        return [s for s in texts if s[2]]
+
+    return read
+
+
+def first_that_reads(*readers: Callable[[bytes], list[Section]]) -> Callable[[bytes], list[Section]]:
+    """A reader that tries others in order (say, converters of old formats) and fails with the last one's error."""
+
+    def read(data: bytes) -> list[Section]:
+        for k, reader in enumerate(readers):
+            try:
+                return reader(data)
+            except Exception:
+                if k + 1 == len(readers):
+                    raise
+        raise ValueError("no reader")
+
+    return read
+
+
 READERS: dict[str, Callable[[bytes], list[Section]]] = {"docx": docx, "odt": odt, "pptx": pptx, "xlsx": xlsx}
 
 

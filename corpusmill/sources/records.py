@@ -27,11 +27,22 @@ def read_jsonl_optional(spark: SparkSession, path: str, schema: str | T.StructTy
     return read_jsonl(spark, path, schema) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def _objects(lines: DataFrame, schema, strict: bool) -> DataFrame:
+def read_jsonl_typed(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """As ``read_jsonl_optional``, but a line that is no object fails as a malformed one does."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    return _objects(lines, schema, strict=True, typed=True)
+
+
+def _objects(lines: DataFrame, schema, strict: bool, typed: bool = False) -> DataFrame:
     kind = F.schema_of_variant(F.try_parse_json("value"))
     lines = lines.withColumn("_kind", kind)
     if strict:
         lines = lines.withColumn("_kind", F.when(F.col("_kind").isNull(), F.raise_error(F.concat(F.lit("malformed JSON line: "), F.substring("value", 1, 120)))).otherwise(F.col("_kind")))
+    if typed:
+        wrong = F.raise_error(F.concat(F.lit("JSON line that is no object: "), F.substring("value", 1, 120)))
+        lines = lines.withColumn("_kind", F.when(~F.startswith("_kind", F.lit("OBJECT")), wrong).otherwise(F.col("_kind")))
     return lines.filter(F.startswith("_kind", F.lit("OBJECT"))).select(F.from_json("value", schema).alias("r")).select("r.*")
 
 

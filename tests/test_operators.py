@@ -9,6 +9,7 @@ from corpusmill.operators import changes as C
 from corpusmill.operators import grouping as G
 from corpusmill.operators import html as H
 from corpusmill.operators import joins as J
+from corpusmill.operators import pages
 from corpusmill.operators import quality as Q
 from corpusmill.sources import office, records, web
 from corpusmill.streaming import feeds
@@ -183,7 +184,7 @@ def test_stream_keeps_the_latest_rows(spark, tmp_path):
         stream = spark.readStream.schema(schema).json(str(src / "*"))
         feeds.keep_state(stream, str(tmp_path / "state"), str(tmp_path / "cp")).awaitTermination()
         put("two", [("a", "2024-02-01", "upsert", "content_changed"), ("a", "2023-01-01", "upsert", "late"), ("c", "2024-02-01", "upsert", "new")])
-    got = {r.document_id: r.reason for r in feeds.read_state(spark, str(tmp_path / "state")).collect()}
+    got = {r.document_id: r.reason for r in feeds.read_part_state(spark, str(tmp_path / "state")).collect()}
     assert got == {"a": "content_changed", "b": "new", "c": "new"}
 
 
@@ -197,3 +198,80 @@ def test_downloads(spark):
     got = {r.url.rsplit("/")[-1]: r for r in web.download(df, "u", get, most_bytes=50).collect()}
     assert got["same"].status == 304 and got["same"].content is None and got["big"].error == "too large" and got["big"].content is None
     assert bytes(got["new"].content) == b"xxx" and len(got["new"].content_sha256) == 64 and got["new"].etag == "v2"
+
+
+def test_downloads_stop_at_the_limit():
+    class Response:
+        def __init__(self, data, headers):
+            self.data, self.headers, self.taken = io.BytesIO(data), headers, 0
+
+        def read(self, n=-1):
+            block = self.data.read(n)
+            self.taken += len(block)
+            return block
+
+    long = Response(b"x" * 1_000_000, {})
+    assert len(web._body(long, 100_000)) == 100_001 == long.taken
+    said = Response(b"x" * 500, {"Content-Length": "500"})
+    assert web._body(said, 100) == b"" and said.taken == 0
+    assert len(web._body(Response(b"x" * 500, {}), None)) == 500 == len(web._body(Response(b"x" * 500, {}), 500))
+
+
+def test_whole_probes_are_judged_by_type_and_bytes(spark):
+    answers = {
+        "http://h/a.pdf": (200, {"content-type": "application/pdf"}, b"%PDF-1.7" + b"x" * 9000), "http://h/b.pdf": (200, {"content-type": "application/octet-stream"}, b"%PDF-1.4"), "http://h/c.pdf": (200, {"content-type": "text/html"}, b"<html>"),
+        "http://h/d.docx": (200, {"content-type": "application/pdf"}, b"%PDF-1.4"), "http://h/e.exe": (200, {}, b"MZ"), "http://h/f.pdf": (404, {}, b""), "http://h/g.pdf": (200, {}, b" <!DOCTYPE html>"),
+    }
+
+    def get(url, headers):
+        if url not in answers:
+            raise OSError("no host")
+        return answers[url]
+
+    df = spark.createDataFrame([(u,) for u in [*answers, "http://bad/x.pdf", None]], "u string")
+    got = {r.url[9:]: r for r in web.judge_whole(web.probe_whole(df, "u", get), ["application/pdf"]).collect()}
+    want = {"a.pdf": "supported_type_and_bytes", "b.pdf": "generic_type_and_bytes", "c.pdf": "html_response", "d.docx": "mismatch", "e.exe": "unsupported_extension", "f.pdf": "unreachable", "g.pdf": "html_response", "d/x.pdf": "unreachable"}
+    assert {n: r.verdict for n, r in got.items()} == want and got["a.pdf"].valid and not got["c.pdf"].valid and len(got["a.pdf"].head) == web.SAMPLE
+
+
+def test_sites_and_their_contents(spark):
+    def get(url, headers):
+        if url.startswith("http://wp"):
+            if url.endswith("/types"):
+                return 200, {}, json.dumps({"post": {"rest_base": "posts", "taxonomies": ["category"]}, "event": {"rest_base": "events"}, "odd": None}).encode()
+            if "per_page=1" in url:
+                return (200, {"x-wp-total": "7"}, b"[]") if "odd" not in url else (404, {}, b"")
+            if url.endswith("/wp-json/"):
+                return 200, {}, b"{}"
+            return 404, {}, b""
+        if url == "http://map/wp-sitemap.xml":
+            return 200, {}, b"<urlset/>"
+        if url == "http://map/sitemap.xml":
+            return 200, {}, b"<html/>"
+        if url.startswith("http://gone"):
+            raise OSError("no host")
+        return 200 if url.endswith("/") else 404, {}, b"page"
+
+    df = spark.createDataFrame([("a", "http://wp/"), ("b", "http://map"), ("c", "http://gone"), ("d", None)], "id string, base string")
+    got = {r.base_url: r for r in web.probe_sites(df, "base", get).withColumn("adapter", pages.adapter(F.col("api_ok"), F.col("sitemap_url").isNotNull())).collect()}
+    assert {b: r.adapter for b, r in got.items()} == {"http://wp": "wordpress", "http://map": "sitemap_html", "http://gone": "seeded_html"}
+    assert got["http://map"].sitemap_url == "http://map/wp-sitemap.xml" and got["http://gone"].home_status is None and got["http://map"].home_status == 200
+    totals = web.content_totals(df, "id", "base", get)
+    rows = {(r.source_id, r.content_type): r for r in totals.collect()}
+    assert rows["a", "post"].total == 7 and rows["a", "post"].taxonomies == ["category"] and rows["a", "odd"].error == "status 404" and rows["c", None].error == "no host"
+    assert {(r.source_id, r.types, r.custom_types, r["items"]) for r in pages.inventory(totals.filter("error is null")).collect()} == {("a", 2, 1, 14)}
+
+
+def test_typed_lines_and_readers(spark, tmp_path):
+    (tmp_path / "ok.jsonl").write_text('{"a": 1}\n\n{"a": 2}\n')
+    (tmp_path / "bad.jsonl").write_text('{"a": 1}\n[1]\n')
+    assert sorted(r.a for r in records.read_jsonl_typed(spark, str(tmp_path / "ok.jsonl"), "a int").collect()) == [1, 2]
+    assert records.read_jsonl_typed(spark, str(tmp_path / "none.jsonl"), "a int").count() == 0
+    with pytest.raises(Exception, match="no object"):
+        records.read_jsonl_typed(spark, str(tmp_path / "bad.jsonl"), "a int").collect()
+    files = spark.createDataFrame([("a.pdf", bytearray(b"two pages of text, long enough|more|!")), ("b.pdf", bytearray(b"short")), ("c.doc", bytearray(b"old")), ("d.png", bytearray(b"x|y"))], "path string, content binary")
+    own = office.pdf(lambda data: [ValueError("broken") if t == "!" else t for t in data.decode().split("|")])
+    scan = office.recognized(lambda data: data.split(b"|"), lambda image: image.decode() * 15)
+    got = {r.path: r for r in office.read_documents(files, {"pdf": own, "png": scan, "doc": office.first_that_reads(office.docx, lambda data: [("document", "Dokument", "converted text")])}).collect()}
+    assert [s.label for s in got["a.pdf"].sections] == ["Strona 1", "Strona 2"] and got["a.pdf"].status == "ok"
+    assert got["b.pdf"].status == "failed" and "needs_ocr" in got["b.pdf"].error and got["c.doc"].text == "converted text" and got["d.png"].text == "x" * 15 + "\n\n" + "y" * 15

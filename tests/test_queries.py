@@ -17,9 +17,8 @@ def test_query_gives_the_rows_of_its_sql(spark, con, sf, name):
     same(spark, con, sf, QUERIES[name], SQL[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
-def test_query_without_sql_runs(spark, sf, name):
-    assert QUERIES[name](spark, sf).count() >= 0
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark, sf):
@@ -32,5 +31,5 @@ def test_chunks_of_the_engine_pass_the_audit_of_their_text(spark, sf):
     from pyspark.sql import functions as F
 
     chunks = QUERIES["chunks_of_documents"](spark, sf)
-    assert chunks.filter(F.sha2("text", 256) != F.col("text_sha256")).count() == 0
-    assert chunks.groupBy("document_id").agg(F.count("*").alias("n"), F.max("chunk_number").alias("m")).filter("n != m").count() == 0
+    per_doc = chunks.groupBy(F.substring_index("id", ":chunk:", 1).alias("d")).agg(F.count("*").alias("n"), F.max("chunk_number").alias("m"), F.max("chunk_count").alias("c"))
+    assert per_doc.count() > 50 and per_doc.filter("n != m or n != c").count() == 0
