@@ -8,11 +8,11 @@ candidates. A banded alignment of their words verifies them: words left out of i
 few edits prove that enough runs are common. Pairs that this doesn't prove (parts that changed places) are decided by the exact share.
 
 Scale: one Python pass over the texts emits about 400 bytes a row; everything after moves only those bytes, and the
-texts of candidates. Equal texts collapse to one representative before any pair is formed. Buckets of up to ``max_bucket`` texts form pairs
-of eight-byte keys, which are made distinct before signatures are compared. Larger ones are compared in tiles, to which each text
-travels once and not with every pair. Where only the groups are wanted (``every_link=False``), they don't form all pairs: all
-members are first compared with one leader, and only pairs with a member that isn't linked to the leader are compared further,
-so no component is lost. Joins on such buckets are spread over as many tasks as the bucket has tiles.
+texts of candidates. Equal texts collapse to one representative before any pair is formed. Signatures and sizes are
+compared inside the join of a bucket, so that only pairs which pass leave a task. A bucket of more than ``max_bucket`` texts (that share a
+notice, say) is cut into parts: one side lies in one part each, the other is sent to all parts. Where only the groups are wanted
+(``every_link=False``), all members of such a bucket are first compared with one leader, and then only those that aren't linked to it
+with the others: no component is lost.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ from .graph import components
 
 _U = np.uint64
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
-SIGNATURE_BITS = 256
+BINS = 64
+SIGNATURE_BITS = 4 * BINS
 SHINGLE = 3
 
 
@@ -69,6 +70,8 @@ class Sketcher:
         self.mul = (rng.integers(1, 2**63, sketches).astype(np.uint64) * _U(2) + _U(1))[:, None]
         self.row = np.arange(sketches)
         self.salt = _mix(np.arange(1, sketches + 1, dtype=np.uint64) * _U(_ODD[0]))
+        self.odd = np.array(_ODD, np.uint64)[:, None]
+        self.bins = np.arange(BINS, dtype=np.uint64) << _U(58)
         self.known: dict[str, int] = {}
 
     def ids(self, words: list[str]) -> np.ndarray:
@@ -97,14 +100,14 @@ class Sketcher:
         return out.view(np.int64)
 
     def signature(self, ids: np.ndarray) -> tuple[np.ndarray, int]:
-        """(one bit of the smallest hash in each of 256 bins, empty bins filled from the next that is not; distinct three-word runs)."""
-        h = _mix(_kmers(ids, min(SHINGLE, len(ids))))
-        low = np.full(SIGNATURE_BITS, _U(0xFFFFFFFFFFFFFFFF))
-        np.minimum.at(low, (h >> _U(56)).astype(np.int64), h)
-        full = np.flatnonzero(low != _U(0xFFFFFFFFFFFFFFFF))
-        take = full[np.searchsorted(full, np.arange(SIGNATURE_BITS)) % len(full)]
-        bits = _mix(low[take] + np.arange(SIGNATURE_BITS, dtype=np.uint64) * _U(_ODD[2])) & _U(1)
-        return np.packbits(bits.astype(np.uint8)).view(np.int64), len(np.unique(h))
+        """(one bit of the smallest of several hashes in each of 64 bins, four times, empty bins filled from the next that is not; distinct
+        three-word runs)."""
+        h = np.unique(_mix(_kmers(ids, min(SHINGLE, len(ids)))))
+        bits = np.empty((4, BINS), bool)
+        for j, x in enumerate(np.sort(_mix(h * self.odd), axis=1)):
+            # in order, the first of a bin is its smallest, and where a bin is empty, that of the next that is not
+            bits[j] = _mix(x[np.searchsorted(x, self.bins) % len(x)] + (self.bins >> _U(58)) * _U(_ODD[2])) & _U(1)
+        return np.packbits(bits).view(np.int64), len(h)
 
 
 def sketch_texts(df: DataFrame, id_col: str, text_col: str, min_words: int, k: int, picks: int, sketches: int) -> DataFrame:
@@ -221,35 +224,6 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return map_columns(joined, run, _LINK)
 
 
-def _verify_tiles(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """As ``_verify`` for pairs with a tile (bucket, i, j): a text travels once to each tile that has a pair with it."""
-    tile = ["bucket", "i", "j"]
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        text = dict(zip(right["key"].to_pylist(), right["text"].to_pylist()))
-        known: dict[bytes, list[str]] = {}
-        held = 0
-        keep = []
-        for a, b in sorted(zip(left["a"].to_pylist(), left["b"].to_pylist())):
-            if a not in text or b not in text:
-                continue
-            for key in (a, b):
-                if key not in known:
-                    if held > 500_000:  # words at once
-                        known = {k: known[k] for k in (a, b) if k in known}
-                        held = sum(map(len, known.values()))
-                    known[key] = WORD.findall(text[key].lower())
-                    held += len(known[key])
-            share, aligned = compare(known[a], known[b], threshold)
-            if share >= threshold:
-                keep.append((a, b, share, aligned))
-        return pa.Table.from_arrays(_links(keep), names=["a", "b", "similarity", "alignment"])
-
-    wanted = pairs.select(*tile, F.explode(F.array("a", "b")).alias("key")).distinct().join(texts, "key")
-    wanted = wanted.select(*tile, "key", "text").toDF("bucket_", "i_", "j_", "key", "text")
-    return pairs.groupBy(*tile).cogroup(wanted.groupBy("bucket_", "i_", "j_")).applyInArrow(run, _LINK)
-
-
 def near_duplicates(
     df: DataFrame,
     id_col: str = "id",
@@ -259,7 +233,7 @@ def near_duplicates(
     k: int = 5,
     picks: int = 2,
     sketches: int = 40,
-    max_bucket: int = 64,
+    max_bucket: int = 256,
     every_link: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """``(members, links)``: members has one row per id, (id, key, group_id, n_links); links are (a, b, similarity, alignment)
@@ -283,53 +257,48 @@ def near_duplicates(
         # Unequal bits are expected at half of 1 - similarity; four and a half standard deviations are allowed for. Texts of few
         # runs fill few bins, and bins filled from others say nothing new: their spread is wider.
         share = (1 - threshold) / 2
-        filled = 1 - F.exp(-F.least(f"{x}.runs", f"{y}.runs") / SIGNATURE_BITS)
+        filled = 1 - F.exp(-F.least(f"{x}.runs", f"{y}.runs") / BINS)
         return differ <= SIGNATURE_BITS * share + 4.5 * (SIGNATURE_BITS * share * (1 - share)) ** 0.5 / F.sqrt(filled)
 
     # most buckets hold one text: counting them first (partial sums in the map stage) leaves few rows to compare
     shared = cut(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
     rows = cut(rows.join(shared, "bucket"))
     has_big = bool(shared.filter(F.col("n") > max_bucket).take(1))
-    small = (rows.filter(F.col("n") <= max_bucket) if has_big else rows).select("bucket", "k")
-    sides = reps.drop("sketch", "id")
+    sides = reps.select("k", "runs", "s0", "s1", "s2", "s3")
+    small = (rows.filter(F.col("n") <= max_bucket) if has_big else rows).select("bucket", "k").join(sides, "k")
+    keys = reps.select("k", "key")
     pairs = (
-        small.toDF("bucket", "x").join(small.toDF("bucket", "y"), "bucket").filter("x < y").select("x", "y").distinct()
-        .join(sides.select(F.col("k").alias("x"), F.struct(*sides.columns).alias("p")), "x").join(sides.select(F.col("k").alias("y"), F.struct(*sides.columns).alias("q")), "y")
-        .filter(close("p", "q")).select(F.least("p.key", "q.key").alias("a"), F.greatest("p.key", "q.key").alias("b")).distinct()
+        small.alias("x").join(small.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.k") < F.col("y.k")) & close("x", "y"))
+        .select(F.col("x.k").alias("x"), F.col("y.k").alias("y")).distinct()
+        .join(keys.toDF("x", "p"), "x").join(keys.toDF("y", "q"), "y").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
     )
     source = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
 
-    def linked(pairs: DataFrame, verify=_verify) -> DataFrame:
+    def linked(pairs: DataFrame) -> DataFrame:
         pairs = cut(pairs)
         wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
         texts = _texts(source, cut(reps.select("key", "id").join(wanted, "key", "left_semi")))
-        return cut(verify(pairs, texts, threshold))
+        return cut(_verify(pairs, texts, threshold))
 
     links = linked(pairs)
     if has_big:
-        # a bucket of n texts has m parts; one side lies in one part each, the other is sent to all parts
-        crowd = cut(rows.filter(F.col("n") > max_bucket).withColumn("m", F.ceil(F.col("n") / max_bucket)).join(reps.drop("sketch", "id"), "k"))
-        place = lambda key: F.pmod(F.xxhash64(key), F.col("m"))
-        everywhere = lambda df: df.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)))
-        placed = crowd.withColumn("i", place("key"))
-        met = lambda x, y: (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.i") == F.col("y.i")) & close("x", "y")
-    if has_big and every_link:
-        close_pairs = (
-            placed.alias("x").join(everywhere(crowd).alias("y"), met("x", "y") & (F.col("x.key") < F.col("y.key")))
-            # a pair that shares several buckets is compared in one of them
-            .groupBy(F.col("x.key").alias("a"), F.col("y.key").alias("b")).agg(F.min(F.struct("x.bucket", "x.m")).alias("t"))
-            .join(links.select("a", "b"), ["a", "b"], "left_anti")
-            .select("a", "b", "t.*").select("a", "b", "bucket", place("a").alias("i"), place("b").alias("j"))
-        )
-        links = cut(links.union(linked(close_pairs, _verify_tiles)))
-    elif has_big:
-        lead = crowd.groupBy("bucket").agg(F.min(F.struct("key", "runs", "s0", "s1", "s2", "s3", "m")).alias("l")).select("bucket", "l.*")
-        pair = lambda df: df.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
-        star = linked(pair(placed.alias("x").join(everywhere(lead).alias("y"), met("x", "y") & (F.col("x.key") != F.col("y.key")))))
-        ends = star.select("a", "b").union(star.select(F.col("b").alias("a"), F.col("a").alias("b"))).toDF("key", "leader")
-        alone = crowd.join(bounded_broadcast(cut(lead.select("bucket", F.col("key").alias("leader")))), "bucket").filter("key != leader").join(ends, ["key", "leader"], "left_anti")
-        more = linked(pair(everywhere(alone).alias("x").join(placed.alias("y"), met("x", "y") & (F.col("x.key") != F.col("y.key")))))
-        links = cut(links.union(star).union(more).dropDuplicates(["a", "b"]))
+        m = F.ceil(F.col("n") / max_bucket)
+        part = lambda df: df.withColumn("i", F.pmod(F.xxhash64("key"), m))
+        all_parts = lambda df: df.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), m - 1)))
+        sized = F.least("x.runs", "y.runs") >= F.lit(threshold) * F.greatest("x.runs", "y.runs") - F.lit(1e-9)
+        met = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.key") != F.col("y.key")) & sized & close("x", "y")
+        pair = lambda x, y: x.alias("x").join(y.alias("y"), met).select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
+        crowd = cut(rows.filter(F.col("n") > max_bucket).select("bucket", "n", "k").join(reps.drop("sketch", "id"), "k"))
+        rest = crowd
+        if not every_link:
+            lead = crowd.groupBy("bucket").agg(F.min(F.struct("key", "runs", "s0", "s1", "s2", "s3", "n")).alias("l")).select("bucket", "l.*")
+            star = linked(pair(part(crowd), all_parts(lead)))
+            links = cut(links.union(star).dropDuplicates(["a", "b"]))
+            ends = star.select("a", "b").union(star.select(F.col("b").alias("a"), F.col("a").alias("b"))).toDF("key", "leader")
+            led = crowd.join(bounded_broadcast(cut(lead.select("bucket", F.col("key").alias("leader")))), "bucket")
+            rest = led.filter("key != leader").join(ends, ["key", "leader"], "left_anti")
+        near = pair(all_parts(rest), part(crowd)).join(links.select("a", "b"), ["a", "b"], "left_anti")
+        links = cut(links.union(linked(near)))
     groups = components(links.select("a", "b"))
     members = members.join(groups.withColumnRenamed("node", "key"), "key", "left").select("id", "key", F.coalesce("component", "key").alias("group_id"))
     if not every_link:
