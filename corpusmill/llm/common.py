@@ -48,11 +48,15 @@ def release(spark: SparkSession | None = None) -> int:
     own = [m for m in _made if spark is None or m[0] is spark]
     for session, path in own:
         _made.remove((session, path))
-        folder = session._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(session._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(session, path)
     return len(own)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @atexit.register
 def _release_at_exit() -> None:
     try:
@@ -66,7 +70,16 @@ def cut(df: DataFrame, partitions: int | None = None) -> DataFrame:
     path = scratch_dir(df.sparkSession)
     out = df if partitions is None else df.coalesce(partitions)
     out.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote, once all that was made of them is written as well."""
+    for t in tables:
+        _made.remove((t.sparkSession, t._scratch))
+        _delete(t.sparkSession, t._scratch)
 
 
 def map_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int = 2000) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.grouping import bounded_broadcast
-from .common import WORD, cut, map_columns
+from .common import WORD, cut, discard, map_columns
 from .graph import components
 
 _U = np.uint64
@@ -246,9 +246,10 @@ def near_duplicates(
     without links between them; an empty table gives empty results; other columns are ignored.
     """
     sketched = cut(sketch_texts(df, id_col, text_col, min_words, k, picks, sketches))
-    members = sketched.select("id", "key").distinct()
+    members = cut(sketched.select("id", "key").distinct())
     seen = ["k", "runs", "s0", "s1", "s2", "s3"]
     reps = cut(sketched.groupBy("key").agg(F.min(F.struct("id", *seen, "sketch")).alias("r")).select("key", "r.*"))
+    discard(sketched)
     # eight bytes of the key travel with a bucket: where two keys share them, both are compared
     rows = reps.select(F.explode("sketch").alias("bucket"), "k")
 
@@ -263,10 +264,12 @@ def near_duplicates(
     # most buckets hold one text: counting them first (partial sums in the map stage) leaves few rows to compare
     shared = cut(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
     rows = cut(rows.join(shared, "bucket"))
-    has_big = bool(shared.filter(F.col("n") > max_bucket).take(1))
-    sides = reps.select("k", "runs", "s0", "s1", "s2", "s3")
-    small = (rows.filter(F.col("n") <= max_bucket) if has_big else rows).select("bucket", "k").join(sides, "k")
-    keys = reps.select("k", "key")
+    discard(shared)
+    sides = cut(reps.drop("sketch"))
+    discard(reps)
+    has_big = bool(rows.filter(F.col("n") > max_bucket).take(1))
+    small = (rows.filter(F.col("n") <= max_bucket) if has_big else rows).select("bucket", "k").join(sides.drop("id", "key"), "k")
+    keys = sides.select("k", "key")
     pairs = (
         small.alias("x").join(small.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.k") < F.col("y.k")) & close("x", "y"))
         .select(F.col("x.k").alias("x"), F.col("y.k").alias("y")).distinct()
@@ -277,7 +280,7 @@ def near_duplicates(
     def linked(pairs: DataFrame) -> DataFrame:
         pairs = cut(pairs)
         wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-        texts = _texts(source, cut(reps.select("key", "id").join(wanted, "key", "left_semi")))
+        texts = _texts(source, cut(sides.select("key", "id").join(wanted, "key", "left_semi")))
         return cut(_verify(pairs, texts, threshold))
 
     links = linked(pairs)
@@ -288,7 +291,7 @@ def near_duplicates(
         sized = F.least("x.runs", "y.runs") >= F.lit(threshold) * F.greatest("x.runs", "y.runs") - F.lit(1e-9)
         met = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.key") != F.col("y.key")) & sized & close("x", "y")
         pair = lambda x, y: x.alias("x").join(y.alias("y"), met).select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
-        crowd = cut(rows.filter(F.col("n") > max_bucket).select("bucket", "n", "k").join(reps.drop("sketch", "id"), "k"))
+        crowd = cut(rows.filter(F.col("n") > max_bucket).select("bucket", "n", "k").join(sides.drop("id"), "k"))
         rest = crowd
         if not every_link:
             lead = crowd.groupBy("bucket").agg(F.min(F.struct("key", "runs", "s0", "s1", "s2", "s3", "n")).alias("l")).select("bucket", "l.*")
