@@ -77,7 +77,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_spans(spark: SparkSession, d: str) -> DataFrame:
-    return _spans(spark, d)
+    return _spans(spark, d).withColumn("item_share", F.round("item_share", 6))
 
 
 def p6_clean(spark: SparkSession, d: str) -> DataFrame:
@@ -123,6 +123,15 @@ _LEAKS = r"""
     gi AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 10, 1)), lambda k: array_to_string(w[k:k + 11], ' '))) AS g FROM i),
     gd AS (SELECT doc_id, unnest(list_transform(range(1, greatest(len(w) - 10, 1)), lambda k: array_to_string(w[k:k + 11], ' '))) AS g FROM d)
     SELECT DISTINCT doc_id, item_id FROM gd JOIN gi USING (g)"""
+_SPANS = r"""
+    WITH i AS (SELECT DISTINCT item_id, regexp_extract_all(replace(strip_accents(lower(text)), 'ł', 'l'), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE text IS NOT NULL),
+    d AS (SELECT DISTINCT doc_id, regexp_extract_all(replace(strip_accents(lower(text)), 'ł', 'l'), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+    gi AS (SELECT item_id, len(w) AS size, unnest(range(1, greatest(len(w) - 10, 1))) AS p, unnest(list_transform(range(1, greatest(len(w) - 10, 1)), lambda k: array_to_string(w[k:k + 11], ' '))) AS g FROM i),
+    gd AS (SELECT doc_id, unnest(range(1, greatest(len(w) - 10, 1))) AS q, unnest(list_transform(range(1, greatest(len(w) - 10, 1)), lambda k: array_to_string(w[k:k + 11], ' '))) AS g FROM d),
+    m AS (SELECT doc_id, item_id, size, q, q - p AS off, q - row_number() OVER (PARTITION BY doc_id, item_id, q - p ORDER BY q) AS island FROM gd JOIN gi USING (g)),
+    r AS (SELECT DISTINCT doc_id, item_id, size, min(q) - 1 AS a, max(q) + 11 AS z FROM m GROUP BY doc_id, item_id, size, off, island)
+    SELECT doc_id, item_id, CAST(a AS INTEGER) AS start_word, CAST(z AS INTEGER) AS end_word, CAST(z - a AS INTEGER) AS n_words, round(CAST(z - a AS DOUBLE) / size, 6) AS item_share FROM r
+    WHERE NOT EXISTS (SELECT 1 FROM r o WHERE o.doc_id = r.doc_id AND o.item_id = r.item_id AND o.a <= r.a AND o.z >= r.z AND (o.a < r.a OR o.z > r.z))"""
 _LINES = r"""
     WITH c AS (SELECT DISTINCT id, document_id, source_id, text FROM chunks), a AS (SELECT source_id, count(DISTINCT document_id) AS n FROM c GROUP BY 1),
     l AS (SELECT id, document_id, source_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM c WHERE text IS NOT NULL),
@@ -143,7 +152,7 @@ _GROUPS = r"""
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "p1_found": _GROUPS, "p4_found": _LINES, "p6_found": _LEAKS,
+        "p1_found": _GROUPS, "p4_found": _LINES, "p6_found": _LEAKS, "p6_spans": _SPANS,
         "p2_found": """
             SELECT DISTINCT id FROM chunks
             WHERE len(regexp_extract_all(text, '[^ \\t\\r\\n]+')) > (
